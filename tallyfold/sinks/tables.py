@@ -56,13 +56,23 @@ def append_spend(rows: DataFrame, table, overwrite_window=False):
     columns = spark.table(table).columns
     missing = [F.lit(None).alias(c) for c in columns if c not in rows.columns]
     ready = require(rows).select("*", *missing).select(*columns).hint("rebalance", "date")
-    if overwrite_window:
-        writer = ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(table)
-    else:
+    if not overwrite_window:
         ready.write.mode("append").insertInto(table)
+        return
+    # insertInto takes this from the session only, not from a write option.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        ready.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def write_spend_csv(rows: DataFrame, path):
-    """CSV report with a header, ordered by account."""
-    csv_rows(rows).orderBy("app").write.mode("overwrite").option("header", True).csv(path)
+    """CSV report with a header, account after account.
+
+    The further sort columns let the rows of a large account spread over files.
+    """
+    ordered = csv_rows(rows).orderBy("app", "date", "country", "adgroup_id")
+    ordered.write.mode("overwrite").option("header", True).csv(path)

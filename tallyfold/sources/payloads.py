@@ -65,8 +65,12 @@ def read_pages(spark: SparkSession, path, schema, *id_columns) -> DataFrame:
 
 
 def parse_pages(pages: DataFrame, text, schema, *keep) -> DataFrame:
-    """The same from a text column; `keep` are columns carried along."""
-    return pages.select(*keep, F.from_json(text, schema).alias("_page")).select(*keep, "_page.*")
+    """The same from a text column; `keep` are columns carried along.
+
+    The page is unfolded by a generator, past which no filter moves: a text is
+    parsed once, however many conditions later look into it.
+    """
+    return pages.select(*keep, F.inline(F.array(F.from_json(text, schema))))
 
 
 def split_errors(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
