@@ -103,5 +103,26 @@ ACCOUNTS = {
 # Accounts being back-filled; empty unless someone is adding one.
 NEW_ACCOUNTS = {"tiktok": {}, "meta": {}, "asa": {}}
 
+# Spend table of each provider.
+SPEND_SCHEMA = "AdSpend"
+SPEND_TABLES = {"tiktok": "TiktokAds", "meta": "MetaAds", "asa": "AsaAds"}
+
+# --- warehouse models --------------------------------------------------------
+# Customer models over billing rows: source table and how the product is picked.
+BILLING_MODELS = {
+    "harmony_customers": ("RevenueCatHarmony", "any"),
+    "unchained_customers": ("RevenueCatUnchained", "any"),
+    "pushtraining_customers": ("RevenueCatPushtraining", "latest"),
+}
+EVENT_MODEL = "stashcook_customers"
+EVENT_TABLES = ("QonversionStashcookAndroid", "QonversionStashcookIOS")
+# Column names of the customer models where they differ from the plans' names.
+BILLING_MODEL_NAMES = {
+    "customer_id": "revenuecat_id",
+    "has_converted_trial_lenient": "has_converted_trial_revenuecat",
+    "has_converted_trial_strict": "has_converted_trial_rocapine",
+}
+EVENT_MODEL_NAMES = {"customer_id": "Qonversion_id"}
+
 # --- target schemas ----------------------------------------------------------
 FIXED_SCHEMAS = {"appstoreconnect": "AppStoreConnect", "googleplay": "GooglePlay"}

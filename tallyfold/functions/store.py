@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyfold import fixed_values as fv
 
-RENEWAL_SUFFIX = r"\.\.\d+$"
-FIRST_RENEWAL = r"\.\.0$"
+RENEWAL_MARK = ".."
+RENEWAL_SUFFIX = r"\.\.\d+\z"
+FIRST_RENEWAL = "..0"
 
 # (text contained in the lower-case SKU, duration), first match wins.
 DURATION_WORDS = [
@@ -30,12 +31,15 @@ def is_known_bundle(bundle) -> Column:
 
 
 def base_order_id(order_id) -> Column:
-    """Order id without the renewal suffix `..N`."""
-    return F.regexp_replace(F.col(order_id), RENEWAL_SUFFIX, "")
+    """Order id without the renewal suffix `..N`; ids without one skip the pattern."""
+    order = F.col(order_id)
+    return F.when(
+        order.contains(RENEWAL_MARK), F.regexp_replace(order, RENEWAL_SUFFIX, "")
+    ).otherwise(order)
 
 
 def is_first_renewal(order_id) -> Column:
-    return F.col(order_id).rlike(FIRST_RENEWAL)
+    return F.col(order_id).endswith(FIRST_RENEWAL)
 
 
 def composite_sku(product, base_plan) -> Column:

@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyfold import fixed_values as fv
+
 IOS_NOTIFICATION = """
     originalTransactionId string, NotificationType string, SubType string,
     offerDiscountType string, ProductId string, renewalProductId string,
@@ -37,20 +39,16 @@ SPEND = """
     campaign_name string, adgroup_id string, adgroup_name string, currency string
 """
 
-# Source names and tables as they are declared in the warehouse.
+# Fixed values: (source, table) as declared in the warehouse, their schema there
+# and their columns.
 SOURCES = {
     ("asc", "Notification"): ("AppStoreConnect", IOS_NOTIFICATION),
     ("googleplay", "Notification"): ("GooglePlay", PLAY_NOTIFICATION),
     ("core", "Products"): ("Staging_Core", PRODUCTS),
-    ("raw", "RevenueCatHarmony"): ("Revenue", BILLING),
-    ("raw", "RevenueCatUnchained"): ("Revenue", BILLING),
-    ("raw", "RevenueCatPushtraining"): ("Revenue", BILLING),
-    ("raw", "QonversionStashcookAndroid"): ("Revenue", SUBSCRIPTION_EVENT),
-    ("raw", "QonversionStashcookIOS"): ("Revenue", SUBSCRIPTION_EVENT),
     ("raw", "Products"): ("Revenue", PRODUCTS),
-    ("ads", "AsaAds"): ("AdSpend", SPEND),
-    ("ads", "MetaAds"): ("AdSpend", SPEND),
-    ("ads", "TiktokAds"): ("AdSpend", SPEND),
+    **{("raw", table): ("Revenue", BILLING) for table, _ in fv.BILLING_MODELS.values()},
+    **{("raw", table): ("Revenue", SUBSCRIPTION_EVENT) for table in fv.EVENT_TABLES},
+    **{("ads", table): (fv.SPEND_SCHEMA, SPEND) for table in fv.SPEND_TABLES.values()},
 }
 
 # Headings of the event export that are not the snake case of themselves.

@@ -45,7 +45,8 @@ TIKTOK_LABELS = [*fv.TIKTOK_APP_BY_LABEL, "Another account", _near("[iOS] Harmon
 ASA_LABELS = [*fv.ACCOUNTS["asa"], "Another account"]
 LABEL_NUMBER = "cast(floor(l_suppkey / 3) as bigint) % 7"
 
-_K = "cast(regexp_extract(props, '[0-9]+', 0) as int)"
+# props is {"k": <number>}
+_K = "cast(substr(props, 7, length(props) - 7) as int)"
 _USER_DAY = "cast(user_id as string) || '-' || cast(cast(ts as date) as string)"
 IOS = [
     (
