@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.store import base_order_id, is_first_renewal, not_blank
+from tallyfold.operators.lookups import spread_join
 from tallyfold.operators.picks import any_row
 
 
@@ -38,18 +39,18 @@ def distinct_ids(rows: DataFrame, *columns) -> DataFrame:
 
 def restrict_to(rows: DataFrame, ids: DataFrame, key) -> DataFrame:
     """Rows whose id is in the set."""
-    return rows.join(ids, key, "left_semi")
+    return spread_join(rows, ids, [key], "left_semi")
 
 
 def exclude(rows: DataFrame, ids: DataFrame, key) -> DataFrame:
     """Rows whose id is not in the set; rows without an id are kept."""
-    return rows.join(ids, key, "left_anti")
+    return spread_join(rows, ids, [key], "left_anti")
 
 
 def flag_members(rows: DataFrame, ids: DataFrame, key, name) -> DataFrame:
     """All rows, with a flag telling whether the id is in the (distinct) set."""
     marked = ids.withColumn(name, F.lit(True))
-    return rows.join(marked, key, "left").withColumn(
+    return spread_join(rows, marked, [key]).withColumn(
         name, F.coalesce(F.col(name), F.lit(False))
     )
 

@@ -27,6 +27,19 @@ def hint_if_small(dimension: DataFrame, counted: DataFrame, rows=None) -> DataFr
     return F.broadcast(dimension) if counted.count() <= limit else dimension
 
 
+def spread_join(facts: DataFrame, dimension: DataFrame, keys, how="left") -> DataFrame:
+    """Join to a dimension that may come out of an aggregation, safe for hot keys.
+
+    Adaptive execution splits an over-represented key only when both inputs of the
+    join are plain shuffles, and an aggregated dimension is not: it is joined where
+    its aggregation left it. Joining on the keys and their hash gives it a shuffle
+    of its own, of narrow rows, so that the facts of a hot key go to many tasks.
+    """
+    mark = F.xxhash64(*keys)
+    marked = facts.withColumn("_mark", mark), dimension.withColumn("_mark", mark)
+    return marked[0].join(marked[1], [*keys, "_mark"], how).drop("_mark")
+
+
 def _listed(products: DataFrame, country: Column) -> DataFrame:
     return products.select(
         country.alias("price_country"),
@@ -62,12 +75,9 @@ def price_book_by_sku(products: DataFrame, rows=None) -> DataFrame:
 
 def attach_prices(facts: DataFrame, book: DataFrame, country: Column, sku) -> DataFrame:
     """Left join of the book on a ready-made country key and the SKU."""
-    keyed = facts.withColumn("_country", country)
-    return keyed.join(
-        book,
-        (F.col("_country") == F.col("price_country")) & (F.col(sku) == F.col("price_sku")),
-        "left",
-    ).drop("_country", "price_country", "price_sku")
+    keyed = facts.withColumns({"price_country": country, "price_sku": F.col(sku)})
+    keys = ["price_country", "price_sku"]
+    return spread_join(keyed, book, keys).drop(*keys)
 
 
 def best_price(countries, prices_by_country) -> Column:
@@ -93,7 +103,8 @@ def newest_details(details: DataFrame, keys, fields, order) -> DataFrame:
 
 def attach_or_blank(facts: DataFrame, details: DataFrame, key, fields) -> DataFrame:
     """Left join; what is not found becomes the empty string."""
-    return facts.join(details, key, "left").withColumns(
+    keys = [key] if isinstance(key, str) else key
+    return spread_join(facts, details, keys).withColumns(
         {f: F.coalesce(F.col(f), F.lit("")) for f in fields}
     )
 

@@ -78,7 +78,9 @@ def flatten_asa(reports: DataFrame, campaigns: DataFrame, details: DataFrame) ->
     campaigns = lookups.attach_or_blank(
         asa_campaign_names(campaigns), asa_campaign_countries(details), "campaign_id", ["country"]
     )
-    listed = rows.filter(F.col("org_id") != "").join(campaigns, ["org_id", "campaign_id"])
+    listed = lookups.spread_join(
+        rows.filter("org_id != ''"), campaigns, ["org_id", "campaign_id"], "inner"
+    )
     return _out(listed, "org_id")
 
 

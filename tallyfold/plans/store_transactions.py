@@ -75,7 +75,8 @@ def ios_transactions(notifications: DataFrame, products: DataFrame, book_rows=No
         }
     )
     book = lookups.price_book_by_sku(products, book_rows)
-    priced = flagged.join(book, F.col("product_id") == F.col("price_sku"), "left").withColumn(
+    keyed = flagged.withColumn("price_sku", F.col("product_id"))
+    priced = lookups.spread_join(keyed, book, ["price_sku"]).withColumn(
         "prices", lookups.best_price("countries", F.col("prices_by_country"))
     )
     return (

@@ -9,6 +9,8 @@ SETTINGS = {
     # partitions are split, small ones merged.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where that costs a further shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
 }

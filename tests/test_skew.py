@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold import fixed_values as fv
-from tallyfold.operators import cohorts
+from tallyfold.operators import cohorts, lookups
 from tallyfold.plans import customers, store_transactions
 from tallyfold.sources import tables
 
@@ -140,3 +140,69 @@ def test_spread_of_conversion_moments(spark, rows):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert sum(sizes) == 4000 and max(sizes) < 2000
+
+
+SPLITTING = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def splitting(spark):
+    """Adaptive settings as for a cluster, at the size of a test."""
+    before = {k: spark.conf.get(k, None) for k in SPLITTING}
+    for key, value in SPLITTING.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot_rows(spark, key="k"):
+    """Two thirds of the rows have the key `hot`, the others spread."""
+    ids = F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 997))
+    rows = spark.range(0, 30000, 1, 16).select(ids.alias(key), F.col("id"))
+    return rows.withColumn("pad", F.sha2(F.col("id").cast("string"), 256))
+
+
+def split_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["restrict_to", "exclude", "flag_members", "attach_or_blank"])
+def test_a_hot_key_is_split_over_tasks(spark, splitting, name):
+    rows = hot_rows(spark)
+    ids = rows.filter("id % 5 < 2").groupBy("k").agg(F.max("pad").alias("best"))
+    chosen = ids.filter("k <> 'u7'").select("k")
+    hits = rows.filter("k <> 'u7'").count()
+    if name == "restrict_to":
+        joined, expected = cohorts.restrict_to(rows, chosen, "k"), hits
+    elif name == "exclude":
+        joined, expected = cohorts.exclude(rows, chosen.filter("k <> 'hot'"), "k"), None
+    elif name == "flag_members":
+        joined, expected = cohorts.flag_members(rows, chosen, "k", "hit"), 30000
+    else:
+        joined, expected = lookups.attach_or_blank(rows, ids, "k", ["best"]), 30000
+    assert "skew=true" in split_plan(joined)
+    if expected:
+        assert joined.count() == expected
+
+
+def test_a_hot_product_is_split_over_tasks(spark, rows, splitting):
+    facts = hot_rows(spark, "sku").withColumn("country", F.lit("fr"))
+    catalogue = rows(
+        tables.PRODUCTS,
+        *[{"country": "FRA", "product_SKU": s, "customer_price_in_usd": 2.0} for s in ("hot", "u7")],
+    ).repartition(8)
+    book = lookups.price_book(catalogue, rows=0)
+    priced = lookups.attach_prices(facts, book, F.col("country"), "sku")
+    assert "skew=true" in split_plan(priced)
+    assert priced.filter("prices.customer_price_in_usd = 2").count() == facts.filter(
+        "sku IN ('hot', 'u7')"
+    ).count()
