@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyfold import fixed_values as fv
 from tallyfold.plans import ad_spend, customers, store_transactions
-from tallyfold.sinks.tables import write_model
+from tallyfold.sinks.tables import table_name, write_model
 from tallyfold.sources.tables import read_source
 
 
@@ -16,37 +16,41 @@ from tallyfold.sources.tables import read_source
 class Model:
     custom_schema: str
     alias: str
-    build: Callable[[Callable[[str, str], DataFrame]], DataFrame]
+    # From a reader of source tables and one of upstream models.
+    build: Callable[[Callable[[str, str], DataFrame], Callable[[str], DataFrame]], DataFrame]
 
 
-def _ios(source):
+IOS, ANDROID = "Transactions_appstoreconnect", "Transactions_googleplay"
+
+
+def _ios(source, upstream):
     return store_transactions.ios_transactions(
         source("asc", "Notification"), source("core", "Products")
     )
 
 
-def _android(source):
+def _android(source, upstream):
     return store_transactions.play_transactions(
         source("googleplay", "Notification"), source("core", "Products")
     )
 
 
-def _unified(source):
-    return store_transactions.unified_transactions(_ios(source), _android(source))
+def _unified(source, upstream):
+    return store_transactions.unified_transactions(upstream(IOS), upstream(ANDROID))
 
 
-def _ad_spend(source):
+def _ad_spend(source, upstream):
     return ad_spend.ad_spend(
         *[source("ads", fv.SPEND_TABLES[channel]) for channel in ("asa", "meta", "tiktok")]
     )
 
 
-def _billing(table, product, source):
+def _billing(table, product, source, upstream):
     rolled = customers.customer_rollup(source("raw", table), source("core", "Products"), product)
     return rolled.withColumnsRenamed(fv.BILLING_MODEL_NAMES)
 
 
-def _events(source):
+def _events(source, upstream):
     android, ios = (source("raw", table) for table in fv.EVENT_TABLES)
     rolled = customers.activation_rollup(
         android, ios, source("core", "Products"), allow_fanout=True
@@ -54,9 +58,10 @@ def _events(source):
     return rolled.withColumnsRenamed(fv.EVENT_MODEL_NAMES)
 
 
+# In an order in which each model comes after those it reads.
 MODELS = {
-    "Transactions_appstoreconnect": Model("AppStoreConnect", "Transactions", _ios),
-    "Transactions_googleplay": Model("GooglePlay", "Transactions", _android),
+    IOS: Model("AppStoreConnect", "Transactions", _ios),
+    ANDROID: Model("GooglePlay", "Transactions", _android),
     "Transaction": Model("Core", "Transaction", _unified),
     "AdSpend": Model("Core", "AdSpend", _ad_spend),
     **{
@@ -67,17 +72,31 @@ MODELS = {
 }
 
 
+def _source(spark, paths):
+    return lambda *table: read_source(spark, *table, (paths or {}).get(table))
+
+
 def model(spark: SparkSession, name, paths=None) -> DataFrame:
-    """A model as a lazy DataFrame; `paths` maps (source, table) to Parquet paths."""
-    paths = paths or {}
+    """A model as one lazy DataFrame, upstream models and all.
 
-    def source(*table):
-        return read_source(spark, *table, paths.get(table))
+    `paths` maps (source, table) to Parquet paths; other sources are in the catalog.
+    """
 
-    return MODELS[name].build(source)
+    def upstream(other):
+        return model(spark, other, paths)
+
+    return MODELS[name].build(_source(spark, paths), upstream)
 
 
 def run_model(spark: SparkSession, name, target, paths=None):
-    """Build a model and replace its table; returns the table's name."""
+    """Build a model and replace its table; returns the table's name.
+
+    Upstream models are read from their tables, so they have to be run before.
+    """
+
+    def upstream(other):
+        return spark.table(table_name(target, MODELS[other].alias, MODELS[other].custom_schema))
+
     chosen = MODELS[name]
-    return write_model(model(spark, name, paths), target, chosen.alias, chosen.custom_schema)
+    rows = chosen.build(_source(spark, paths), upstream)
+    return write_model(rows, target, chosen.alias, chosen.custom_schema)

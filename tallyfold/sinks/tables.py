@@ -17,11 +17,14 @@ def resolve_schema(target, custom=None):
     return fv.FIXED_SCHEMAS.get(name.lower(), f"{target}_{name}")
 
 
+def table_name(target, alias, custom=None):
+    return f"`{resolve_schema(target, custom)}`.`{alias}`"
+
+
 def write_model(rows: DataFrame, target, alias, custom=None):
     """Replace the whole table of a model; returns its name."""
-    schema = resolve_schema(target, custom)
-    rows.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    table = f"`{schema}`.`{alias}`"
+    table = table_name(target, alias, custom)
+    rows.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS `{resolve_schema(target, custom)}`")
     rows.write.mode("overwrite").format("parquet").saveAsTable(table)
     return table
 

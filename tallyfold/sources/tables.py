@@ -22,12 +22,14 @@ PRODUCTS = """
     customer_price_in_usd double, expected_proceeds_in_currency double,
     expected_proceeds_in_usd double, duration string
 """
-BILLING = """
-    rc_original_app_user_id string, first_seen_time timestamp, start_time timestamp,
+BILLING_UNDATED = """
+    rc_original_app_user_id string, first_seen_time timestamp,
     country string, platform string, product_identifier string,
     purchase_price_in_usd double, is_trial_period boolean, is_sandbox boolean,
     is_trial_conversion boolean, ownership_type string, refunded_at timestamp
 """
+# The start time is needed where the latest product is picked.
+BILLING = BILLING_UNDATED + ", start_time timestamp"
 SUBSCRIPTION_EVENT = """
     q_user_id string, event_ts timestamp, event_name string, install_ts timestamp,
     app_name string, platform string, country string, currency string,
@@ -46,7 +48,10 @@ SOURCES = {
     ("googleplay", "Notification"): ("GooglePlay", PLAY_NOTIFICATION),
     ("core", "Products"): ("Staging_Core", PRODUCTS),
     ("raw", "Products"): ("Revenue", PRODUCTS),
-    **{("raw", table): ("Revenue", BILLING) for table, _ in fv.BILLING_MODELS.values()},
+    **{
+        ("raw", table): ("Revenue", BILLING if product == "latest" else BILLING_UNDATED)
+        for table, product in fv.BILLING_MODELS.values()
+    },
     **{("raw", table): ("Revenue", SUBSCRIPTION_EVENT) for table in fv.EVENT_TABLES},
     **{("ads", table): (fv.SPEND_SCHEMA, SPEND) for table in fv.SPEND_TABLES.values()},
 }

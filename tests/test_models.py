@@ -35,11 +35,14 @@ def test_every_model_is_written_to_its_schema(spark, paths):
         fv.EVENT_MODEL: (f"`dev_Experimentation`.`{fv.EVENT_MODEL}`", 19, 1),
     }
     assert set(want) == set(models.MODELS)
-    for name, (table, columns, count) in want.items():
+    for name in models.MODELS:
+        table, columns, count = want[name]
         assert models.run_model(spark, name, "dev", paths) == table
         written = spark.table(table)
         assert (len(written.columns), written.count()) == (columns, count), name
-    first = spark.table("`dev_Core`.`Transaction`").first()
+    lazy = models.model(spark, "Transaction", paths)
+    assert lazy.collect() == spark.table("`dev_Core`.`Transaction`").collect()
+    first = lazy.first()
     assert (first.TransactionId, first.customer_price_in_usd) == ("t", 2.0)
     billing = spark.table(want[list(fv.BILLING_MODELS)[0]][0])
     assert set(fv.BILLING_MODEL_NAMES.values()) <= set(billing.columns)

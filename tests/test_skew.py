@@ -195,7 +195,9 @@ def test_a_hot_key_is_split_over_tasks(spark, splitting, name):
 
 
 def test_a_hot_product_is_split_over_tasks(spark, rows, splitting):
-    facts = hot_rows(spark, "sku").withColumn("country", F.lit("fr"))
+    facts = hot_rows(spark, "sku").withColumn(
+        "country", F.expr("if(id % 4 = 0, 'de', 'fr')")
+    )
     catalogue = rows(
         tables.PRODUCTS,
         *[{"country": "FRA", "product_SKU": s, "customer_price_in_usd": 2.0} for s in ("hot", "u7")],
@@ -204,5 +206,5 @@ def test_a_hot_product_is_split_over_tasks(spark, rows, splitting):
     priced = lookups.attach_prices(facts, book, F.col("country"), "sku")
     assert "skew=true" in split_plan(priced)
     assert priced.filter("prices.customer_price_in_usd = 2").count() == facts.filter(
-        "sku IN ('hot', 'u7')"
+        "sku IN ('hot', 'u7') AND country = 'fr'"
     ).count()
