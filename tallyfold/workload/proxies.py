@@ -40,8 +40,8 @@ def _ids(channel, labels):
     return "|".join(fv.ACCOUNTS[channel].get(label, "0") for label in labels)
 
 
-META_LABELS = [*fv.META_APP_BY_LABEL, "Another account", _near("Roca_Unchaind")]
-TIKTOK_LABELS = [*fv.TIKTOK_APP_BY_LABEL, "Another account", _near("[iOS] Harmony")]
+META_LABELS = [*fv.META_APP_BY_LABEL, "Another account", _near(list(fv.META_APP_BY_LABEL)[1])]
+TIKTOK_LABELS = [*fv.TIKTOK_APP_BY_LABEL, "Another account", _near(list(fv.TIKTOK_APP_BY_LABEL)[-1])]
 ASA_LABELS = [*fv.ACCOUNTS["asa"], "Another account"]
 LABEL_NUMBER = "cast(floor(l_suppkey / 3) as bigint) % 7"
 
