@@ -106,3 +106,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, seed: int = 42, distance:
     # The hash beside the key gives both sides a plain shuffle, so a hot fingerprint is split.
     mark = F.xxhash64("fp").alias("mark")
     return prints.select("*", mark).join(named.select("*", mark), ["fp", "mark"], "left").select("doc_id", "fp", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = 4, seed: int = 42, distance: int = 4) -> DataFrame:
+    """The documents with all their columns, one of each near-duplicate group: the least doc_id.
+
+    Of repeated rows of that document one stays. Documents without an id stay where their
+    group has no document with an id, one for each group's null.
+    """
+    found = near_duplicates(docs, shingle, seed, distance)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    ids = cut(first.groupBy(F.col("doc_id").alias("first_id")).agg((F.count("*") > 1).alias("repeated")))
+    same = F.col("doc_id").eqNullSafe(F.col("first_id"))
+    once = docs.join(ids.where("NOT repeated"), same, "left_semi")
+    repeated = ids.where("repeated")
+    if repeated.isEmpty():
+        return once
+    return once.unionAll(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 #: Bytes of text of a reference block, and windows of a hash range, on average.
 BLOCK_BYTES = 8 << 20
 RANGE_WINDOWS = 1 << 20
+#: Name of the column that is added to the documents on the way.
+BLOCK = "_reference_block"
 
 def _mixers(window: int) -> np.ndarray:
     """Odd factors, one for each place in a window."""
@@ -76,15 +78,15 @@ def _indexer(window: int, ranges: int):
         index = np.unique(windows(sizes, hashes, window)[2])
         parts = np.split(index, np.searchsorted(index, _borders(ranges)))
         full = [k for k, p in enumerate(parts) if len(p)]
-        block = table["block"][0].as_py()
-        return pa.table({"range": pa.array(full, "int32"), "block": pa.array([block] * len(full), "int32"), "hashes": pa.array([parts[k].astype("<u8").tobytes() for k in full], "binary")})
+        block = table[BLOCK][0].as_py()
+        return pa.table({"range": pa.array(full, "int32"), BLOCK: pa.array([block] * len(full), "int32"), "hashes": pa.array([parts[k].astype("<u8").tobytes() for k in full], "binary")})
 
     return run
 
 
 def _seen_before(table: pa.Table) -> pa.Table:
     """For one hash range: which hashes of each block an earlier block has, as bits."""
-    table = table.sort_by("block")
+    table = table.sort_by(BLOCK)
     parts = [np.frombuffer(h, "<u8") for h in table["hashes"].to_pylist()]
     hashes = np.concatenate(parts)
     order = np.argsort(hashes, kind="stable")  # the blocks of a hash stay in their order
@@ -93,7 +95,7 @@ def _seen_before(table: pa.Table) -> pa.Table:
     seen[order[1:]] = ordered[1:] == ordered[:-1]
     marks = [np.packbits(s).tobytes() for s in np.split(seen, np.cumsum([len(p) for p in parts])[:-1])]
     keep = [k for k, m in enumerate(marks) if any(m)]
-    return pa.table({"block": table["block"].take(pa.array(keep, "int64")).cast("int32"), "range": table["range"].take(pa.array(keep, "int64")).cast("int32"), "seen": pa.array([marks[k] for k in keep], "binary")})
+    return pa.table({BLOCK: table[BLOCK].take(pa.array(keep, "int64")).cast("int32"), "range": table["range"].take(pa.array(keep, "int64")).cast("int32"), "seen": pa.array([marks[k] for k in keep], "binary")})
 
 
 def factors(found: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -102,48 +104,72 @@ def factors(found: np.ndarray, window: int) -> list[tuple[int, int]]:
     return [(a, z - a + window - 1) for a, z in edges.reshape(-1, 2).tolist()]
 
 
-def _parser(window: int, ranges: int, digest: bool):
+def _parse(docs: pa.Table, answers: pa.Table, window: int, ranges: int):
+    """For each document of a block: row, words, which of them repeats cover, and the factors."""
+    ids, texts, order = _text_rows(docs)
+    words, sizes, hashes = word_hashes(texts)
+    at, document, mixed = windows(sizes, hashes, window)
+    index, place = np.unique(mixed, return_inverse=True)
+    seen = np.zeros(len(index), bool)
+    borders = np.concatenate(([0], np.searchsorted(index, _borders(ranges)), [len(index)]))
+    for k, bits in zip(answers["range"].to_pylist(), answers["seen"].to_pylist(), strict=True):
+        a, z = borders[k], borders[k + 1]
+        seen[a:z] = np.unpackbits(np.frombuffer(bits, np.uint8), count=z - a).astype(bool)
+    first = np.full(len(index), np.iinfo(np.int64).max)
+    np.minimum.at(first, place, ids[document])
+    repeated = np.zeros(len(hashes), bool)
+    repeated[at] = seen[place] | (first[place] < ids[document])
+    # A word is covered if one of the last `window` places starts such a window.
+    sums = np.concatenate(([0], np.cumsum(repeated)))
+    n = np.arange(len(hashes))
+    covered = sums[n + 1] > sums[np.maximum(n + 1 - window, 0)]
+    start = 0
+    for own, size, row in zip(words, sizes.tolist(), order.tolist(), strict=True):
+        stop = start + size
+        yield row, own, covered[start:stop], factors(repeated[start:stop], window)
+        start = stop
+
+
+def _kept(words: list[bytes], gone: np.ndarray) -> bytes:
+    return b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
+
+
+def _reporter(window: int, ranges: int, digest: bool):
+    """Cogroup function: one row per document, with what is left of it."""
+
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            return _rows([], digest)
-        ids, texts, order = _text_rows(docs)
-        words, sizes, hashes = word_hashes(texts)
-        at, document, mixed = windows(sizes, hashes, window)
-        index, place = np.unique(mixed, return_inverse=True)
-        seen = np.zeros(len(index), bool)
-        borders = np.concatenate(([0], np.searchsorted(index, _borders(ranges)), [len(index)]))
-        for k, bits in zip(answers["range"].to_pylist(), answers["seen"].to_pylist(), strict=True):
-            a, z = borders[k], borders[k + 1]
-            seen[a:z] = np.unpackbits(np.frombuffer(bits, np.uint8), count=z - a).astype(bool)
-        first = np.full(len(index), np.iinfo(np.int64).max)
-        np.minimum.at(first, place, ids[document])
-        repeated = np.zeros(len(hashes), bool)
-        repeated[at] = seen[place] | (first[place] < ids[document])
-        # A word is covered if one of the last `window` places starts such a window.
-        sums = np.concatenate(([0], np.cumsum(repeated)))
-        n = np.arange(len(hashes))
-        covered = sums[n + 1] > sums[np.maximum(n + 1 - window, 0)]
-        out, start = [], 0
-        for own, size, row in zip(words, sizes.tolist(), order.tolist(), strict=True):
-            gone = covered[start : start + size]
-            removed = int(gone.sum())
-            kept = b" ".join([w for w, g in zip(own, gone.tolist(), strict=True) if not g] if removed else own)
-            spans = factors(repeated[start : start + size][: max(size - window + 1, 0)], window) if not digest and removed else []
-            doc_id = docs["doc_id"][row].as_py()
-            out.append((doc_id, size, removed, hashlib.sha256(kept).hexdigest() if digest else kept.decode(), spans))
-            start += size
-        return _rows(out, digest)
+        out = {"doc_id": [], "n_words": [], "n_removed": [], "kept": [], "factors": []}
+        doc_ids = docs["doc_id"].to_pylist()
+        for row, words, gone, spans in _parse(docs, answers, window, ranges) if doc_ids else ():
+            kept = _kept(words, gone)
+            values = doc_ids[row], len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest() if digest else kept.decode(), spans
+            for column, value in zip(out.values(), values, strict=True):
+                column.append(value)
+        table = {k: pa.array(out[k], "int64") for k in ("doc_id", "n_words", "n_removed")}
+        if digest:
+            return pa.table(table | {"kept_sha256": pa.array(out["kept"], "string")})
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))
+        spans = [[{"start": a, "words": n} for a, n in s] for s in out["factors"]]
+        return pa.table(table | {"kept": pa.array(out["kept"], "string"), "factors": pa.array(spans, kind)})
 
     return run
 
 
-def _rows(out: list[tuple], digest: bool) -> pa.Table:
-    doc_id, n_words, n_removed, kept, spans = zip(*out, strict=True) if out else [()] * 5
-    columns = {"doc_id": pa.array(doc_id, "int64"), "n_words": pa.array(n_words, "int64"), "n_removed": pa.array(n_removed, "int64")}
-    if digest:
-        return pa.table(columns | {"kept_sha256": pa.array(kept, "string")})
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))
-    return pa.table(columns | {"kept": pa.array(kept, "string"), "factors": pa.array([[{"start": a, "words": n} for a, n in s] for s in spans], kind)})
+def _rewriter(window: int, ranges: int, columns: list[str]):
+    """Cogroup function: the documents with their repeats cut out of the texts."""
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        text, rows = docs["text"].to_pylist(), []
+        for row, words, gone, _ in _parse(docs, answers, window, ranges) if docs.num_rows else ():
+            if gone.any():
+                text[row] = _kept(words, gone).decode()
+            if not len(words) or not gone.all():
+                rows.append(row)
+        place = docs.schema.get_field_index("text")
+        docs = docs.set_column(place, "text", pa.array(text, docs.schema.field("text").type))
+        return docs.take(pa.array(sorted(rows), "int64")).select(columns)
+
+    return run
 
 
 def _block(doc_id, borders: list[int]):
@@ -161,6 +187,22 @@ def _block(doc_id, borders: list[int]):
     return F.when(doc_id.isNull(), F.lit(len(borders))).otherwise(place).cast("int")
 
 
+def _run(docs: DataFrame, window: int, block_bytes: int, range_windows: int, parser, kinds) -> DataFrame:
+    """Blocks, index, comparison of the index by hash ranges, and the parser with its answers."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks, ranges = max(1, -(-size // block_bytes)), max(1, size // (6 * range_windows))
+    borders = []
+    if blocks > 1:
+        shares = F.expr(f"transform(sequence(1, {blocks - 1}), k -> k / {blocks}D)")
+        found = docs.agg(F.percentile_approx("doc_id", shares, F.lit(100 * blocks))).first()[0]
+        borders = sorted(set(found or []))
+    # Both the index and the parser take whole rows, so they share one shuffle of the texts.
+    blocked = docs.withColumn(BLOCK, _block(F.col("doc_id"), borders))
+    index = blocked.groupBy(BLOCK).applyInArrow(_indexer(window, ranges), f"range int, {BLOCK} int, hashes binary")
+    answers = index.groupBy("range").applyInArrow(_seen_before, f"{BLOCK} int, range int, seen binary")
+    return blocked.groupBy(BLOCK).cogroup(answers.groupBy(BLOCK)).applyInArrow(parser(ranges), kinds)
+
+
 def remove_repeats(docs: DataFrame, window: int = 13, digest: bool = False, block_bytes: int = BLOCK_BYTES, range_windows: int = RANGE_WINDOWS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, factors) of every document.
 
@@ -171,22 +213,19 @@ def remove_repeats(docs: DataFrame, window: int = 13, digest: bool = False, bloc
 
     A null text has no words. A null doc_id counts as larger than all others. Rows that share
     a doc_id, repeated rows too, don't make each other's words repeats. Texts of any length
-    stay whole. An empty table gives an empty result. Windows are equal if their 64-bit hashes
-    are.
+    stay whole. An empty table gives an empty result. Other columns are not read. Windows are
+    equal if their 64-bit hashes are.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size, *_ = docs.agg(F.sum(F.octet_length("text"))).first()
-    blocks = max(1, -(-(size or 0) // block_bytes))
-    ranges = max(1, (size or 0) // (6 * range_windows))
-    borders = []
-    if blocks > 1:
-        shares = F.expr(f"transform(sequence(1, {blocks - 1}), k -> k / {blocks}D)")
-        found = docs.agg(F.percentile_approx("doc_id", shares, F.lit(100 * blocks))).first()[0]
-        borders = sorted(set(found or []))
-    block = _block(F.col("doc_id"), borders).alias("block")
-    blocked = docs.select("doc_id", "text", block)
-    index = blocked.groupBy("block").applyInArrow(_indexer(window, ranges), "range int, block int, hashes binary")
-    answers = index.groupBy("range").applyInArrow(_seen_before, "block int, range int, seen binary")
     kinds = "doc_id long, n_words long, n_removed long, "
     kinds += "kept_sha256 string" if digest else "kept string, factors array<struct<start: long, words: long>>"
-    return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_parser(window, ranges, digest), kinds)
+    return _run(docs, window, block_bytes, range_windows, lambda ranges: _reporter(window, ranges, digest), kinds)
+
+
+def without_repeats(docs: DataFrame, window: int = 13, block_bytes: int = BLOCK_BYTES, range_windows: int = RANGE_WINDOWS) -> DataFrame:
+    """The documents with all their columns, the repeats that `remove_repeats` finds cut out.
+
+    A text without repeats stays as it is. One with repeats becomes its other words, joined
+    by one blank; a document of which nothing is left goes.
+    """
+    return _run(docs, window, block_bytes, range_windows, lambda ranges: _rewriter(window, ranges, docs.columns), docs.schema)
