@@ -3,13 +3,17 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, packing, simhash, substring_dedup
+from tallyfold.llm import bpe, language_id, packing, quality, simhash, substring_dedup, url_filter
 from tallyfold.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: The list that `pages` is judged by.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
 def vocabulary(path: str) -> str:
     """The content of a tokenizer file: a few MB, whatever the data."""
     with open(path, encoding="utf-8") as file:
@@ -20,6 +24,21 @@ def op1_bpe(spark, sf_dir):
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
 
 
+def op2_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op3_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
+def op4_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs.select("doc_id", "text"), model).drop("text")
+
+
 def op5_packing(spark, sf_dir):
     cut_pieces = packing.pieces(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
     return packing.pack(cut_pieces)
@@ -36,9 +55,28 @@ def op9_substring_dedup(spark, sf_dir):
 
 LLM_QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_url_filter": op2_url_filter,
+    "op3_language_id": op3_language_id,
+    "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+_URL_RULES_SQL = ", ".join(f"('{entry}', '{entry.partition('/')[0]}', '/{entry.partition('/')[2]}', '{verdict}')" for verdict, entry in URL_RULES)
+
+LLM_ORACLES: dict[str, str] = {
+    "op2_url_filter": f"""
+WITH urls AS (
+  SELECT page_id,
+    CASE WHEN strpos(url, '://') > 0 THEN translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages),
+rules(rule, rule_host, rule_path, verdict) AS (VALUES {_URL_RULES_SQL}),
+fits AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM urls JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN fits USING (page_id)""",
+}
