@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, language_id, packing, quality, simhash, substring_dedup, url_filter
+from tallyfold.llm import bpe, embedding_dedup, language_id, packing, quality, simhash, substring_dedup, url_filter
 from tallyfold.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -49,6 +49,10 @@ def op6_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_substring_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
 
@@ -60,6 +64,7 @@ LLM_QUERIES = {
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
