@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, embedding_dedup, language_id, packing, quality, simhash, substring_dedup, url_filter
+from tallyfold.llm import bpe, embedding_dedup, language_id, packing, quality, simhash, substring_dedup, toxicity, url_filter
 from tallyfold.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -57,6 +57,11 @@ def op9_substring_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 LLM_QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_url_filter": op2_url_filter,
@@ -66,6 +71,7 @@ LLM_QUERIES = {
     "op6_simhash": op6_simhash,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 _URL_RULES_SQL = ", ".join(f"('{entry}', '{entry.partition('/')[0]}', '/{entry.partition('/')[2]}', '{verdict}')" for verdict, entry in URL_RULES)
