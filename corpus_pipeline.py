@@ -10,10 +10,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tallyfold.llm import packing, simhash, substring_dedup
+from tallyfold.llm import packing, quality, secret_scan, simhash, substring_dedup
+from tallyfold.llm.common import table
 from tallyfold.llm.queries import BYTE_BPE, vocabulary
 
 
+def quality_rules(spark, docs, sf_dir):
+    """Documents that the quality rules reject go."""
+    return quality.kept_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def near_duplicates(spark, docs, sf_dir):
     """One document of each SimHash group stays, the one with the least doc_id."""
     return simhash.one_of_each_group(docs)
@@ -24,14 +30,21 @@ def repeated_passages(spark, docs, sf_dir):
     return _counted(substring_dedup.without_repeats(docs))
 
 
+def secrets(spark, docs, sf_dir):
+    """Secrets are masked in the texts."""
+    return _counted(secret_scan.redact(docs, secret_scan.scan(docs)))
+
+
 def packed(spark, docs, sf_dir):
     """The pieces of all documents with their place in a training sequence."""
     return packing.pack(packing.pieces(docs, vocabulary(BYTE_BPE)))
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
     ("repeated_passages", repeated_passages),
+    ("secrets", secrets),
     ("packed", packed),
 ]
 

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, embedding_dedup, language_id, packing, quality, simhash, substring_dedup, toxicity, url_filter
+from tallyfold.llm import bpe, embedding_dedup, language_id, packing, quality, secret_scan, simhash, substring_dedup, toxicity, url_filter
 from tallyfold.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -49,6 +49,12 @@ def op6_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_secret_scan(spark, sf_dir):
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    digest = F.sha2("candidate", 256).alias("candidate_sha256")
+    return found.select("doc_id", "place", F.length("candidate").cast("long").alias("n_chars"), digest, "name", "score", "is_secret")
+
+
 def op8_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -69,6 +75,7 @@ LLM_QUERIES = {
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
+    "op7_secret_scan": op7_secret_scan,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
