@@ -14,7 +14,6 @@ and tells each block which of its hashes an earlier block has, as one bit per ha
 """
 
 import hashlib
-import json
 import math
 
 import numpy as np
@@ -172,18 +171,20 @@ def _rewriter(window: int, ranges: int, columns: list[str]):
     return run
 
 
+def _constant(values: list, kind: str):
+    """An array that Spark folds into one literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>") if values else F.array().cast(f"array<{kind}>")
+
+
 def _block(doc_id, borders: list[int]):
     """How many of the sorted borders are below the id; the last block for null.
 
     The borders are looked up in two steps, so a row costs the square root of their number.
     """
     step = math.isqrt(len(borders)) + 1
-    fine = [borders[k : k + step] for k in range(0, len(borders), step)] or [[]]
-    fine_column = F.from_json(F.lit(json.dumps(fine)), "array<array<bigint>>")
-    coarse = F.from_json(F.lit(json.dumps([f[0] for f in fine[1:]])), "array<bigint>")
     below = lambda b: b < doc_id
-    group = F.size(F.filter(coarse, below))
-    place = group * step + F.size(F.filter(F.get(fine_column, group), below))
+    group = F.size(F.filter(_constant(borders[step::step], "bigint"), below))
+    place = group * step + F.size(F.filter(F.slice(_constant(borders, "bigint"), group * step + 1, step), below))
     return F.when(doc_id.isNull(), F.lit(len(borders))).otherwise(place).cast("int")
 
 
@@ -193,7 +194,7 @@ def _run(docs: DataFrame, window: int, block_bytes: int, range_windows: int, par
     blocks, ranges = max(1, -(-size // block_bytes)), max(1, size // (6 * range_windows))
     borders = []
     if blocks > 1:
-        shares = F.expr(f"transform(sequence(1, {blocks - 1}), k -> k / {blocks}D)")
+        shares = _constant([k / blocks for k in range(1, blocks)], "double")
         found = docs.agg(F.percentile_approx("doc_id", shares, F.lit(100 * blocks))).first()[0]
         borders = sorted(set(found or []))
     # Both the index and the parser take whole rows, so they share one shuffle of the texts.
