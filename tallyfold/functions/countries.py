@@ -1,30 +1,23 @@
 """Country codes and regions as column expressions."""
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyfold import fixed_values as fv
 
 
-def alpha2(code, extended=False) -> Column:
+def alpha2(code, extended=False, strict=False) -> Column:
     """Two-letter code of a three-letter one, in any letter case.
 
-    A code outside the map gives its own first two letters, as written.
+    A code outside the list gives its own first two letters, as written; null if `strict`.
     """
     code = _col(code)
-    key = F.upper(code)
-    special = {**fv.ALPHA3_IRREGULAR, **(fv.ALPHA3_EXTENDED if extended else {})}
-    pairs = F.create_map(*[F.lit(x) for x in chain.from_iterable(special.items())])
-    return F.coalesce(
-        F.try_element_at(pairs, key),
-        F.when(
-            key.isin(fv.ALPHA3_FIRST_AND_THIRD_LETTER),
-            F.concat(F.substring(key, 1, 1), F.substring(key, 3, 1)),
-        ),
-        F.substring(code, 1, 2),
-    )
+    listed = fv.ALPHA3.strip()
+    if extended:
+        listed = f"{listed}, {fv.ALPHA3_EXTENDED}"
+    pairs = F.str_to_map(F.lit(" ".join(listed.split())), F.lit(", "), F.lit(" "))
+    known = F.try_element_at(pairs, F.upper(code))
+    return known if strict else F.coalesce(known, F.substring(code, 1, 2))
 
 
 def country_upper(code) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyfold import fixed_values as fv
 from tallyfold.functions.store import pick_first
+from tallyfold.rules import EXAMPLE
 
 
 def platform_from_campaign(name) -> Column:
@@ -31,40 +32,40 @@ def label_matches(column, labels) -> Column:
     return reduce(or_, [contains_like(column, label) for label in labels])
 
 
-def is_asa_campaign(name) -> Column:
-    n = len(fv.ASA_CAMPAIGN_PREFIX)
-    return F.upper(F.substring(F.col(name), 1, n)) == fv.ASA_CAMPAIGN_PREFIX
+def is_asa_campaign(name, rules=EXAMPLE) -> Column:
+    n = len(rules.asa_prefix)
+    return F.upper(F.substring(F.col(name), 1, n)) == rules.asa_prefix.upper()
 
 
-def asa_app(campaign_name) -> Column:
-    return F.when(is_asa_campaign(campaign_name), fv.ASA_CAMPAIGN_APP).otherwise(fv.UNKNOWN_APP)
+def asa_app(campaign_name, rules=EXAMPLE) -> Column:
+    return F.when(is_asa_campaign(campaign_name, rules), rules.asa_app).otherwise(fv.UNKNOWN_APP)
 
 
-def meta_app(label) -> Column:
+def meta_app(label, rules=EXAMPLE) -> Column:
     """App by exact label; a merely similar label is unknown."""
-    arms = [(F.col(label) == text, app) for text, app in fv.META_APP_BY_LABEL.items()]
+    arms = [(F.col(label) == text, app) for text, app in rules.meta_labels.items()]
     return pick_first(arms, fv.UNKNOWN_APP)
 
 
-def tiktok_app(label) -> Column:
-    arms = [(contains_like(label, text), app) for text, app in fv.TIKTOK_APP_BY_LABEL.items()]
+def tiktok_app(label, rules=EXAMPLE) -> Column:
+    arms = [(contains_like(label, text), app) for text, app in rules.tiktok_labels.items()]
     return pick_first(arms, fv.UNKNOWN_APP)
 
 
-def asa_usd(spend) -> Column:
-    return F.col(spend) * F.lit(fv.ASA_USD_RATE)
+def asa_usd(spend, rules=EXAMPLE) -> Column:
+    return F.col(spend) * F.lit(rules.asa_rate)
 
 
-def tiktok_usd(spend) -> Column:
+def tiktok_usd(spend, rules=EXAMPLE) -> Column:
     """One rate, whatever the currency column says."""
-    return F.col(spend) * F.lit(fv.TIKTOK_USD_RATE)
+    return F.col(spend) * F.lit(rules.tiktok_rate)
 
 
-def meta_usd(spend, currency) -> Column:
+def meta_usd(spend, currency, rules=EXAMPLE) -> Column:
     """By currency; null for one without a rate."""
     arms = [
         (F.col(currency) == code, F.col(spend) * F.lit(rate))
-        for code, rate in fv.META_USD_RATE.items()
+        for code, rate in rules.meta_rates.items()
     ]
     return pick_first(arms)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyfold import fixed_values as fv
+from tallyfold.rules import EXAMPLE
 
 RENEWAL_MARK = ".."
 RENEWAL_SUFFIX = r"\.\.\d+\z"
@@ -20,14 +21,14 @@ DURATION_WORDS = [
 ]
 
 
-def app_name(bundle) -> Column:
+def app_name(bundle, rules=EXAMPLE) -> Column:
     """App of a bundle id; null when it is none of ours."""
     bundle = F.col(bundle) if isinstance(bundle, str) else bundle
-    return pick_first([(bundle == b, app) for b, app in fv.APP_BY_BUNDLE.items()])
+    return pick_first([(bundle == b, app) for b, app in rules.apps.items()])
 
 
-def is_known_bundle(bundle) -> Column:
-    return F.col(bundle).isin(list(fv.APP_BY_BUNDLE))
+def is_known_bundle(bundle, rules=EXAMPLE) -> Column:
+    return F.col(bundle).isin(list(rules.apps))
 
 
 def base_order_id(order_id) -> Column:

@@ -12,19 +12,6 @@ PRICE_FIELDS = [
     "expected_proceeds_in_usd",
     "duration",
 ]
-# A price book row is under 200 bytes, so this many stay under 40 MB.
-BROADCAST_ROWS = 200_000
-
-
-def hint_if_small(dimension: DataFrame, counted: DataFrame, rows=None) -> DataFrame:
-    """Broadcast hint when `counted` shows the dimension to be small.
-
-    `counted` has at least as many rows as the dimension and is cheap to count.
-    Past the bound there is no hint: Spark joins by shuffle, and adaptive
-    execution splits the partitions of keys that are over-represented.
-    """
-    limit = BROADCAST_ROWS if rows is None else rows
-    return F.broadcast(dimension) if counted.count() <= limit else dimension
 
 
 def spread_join(facts: DataFrame, dimension: DataFrame, keys, how="left") -> DataFrame:
@@ -53,24 +40,26 @@ def _unique(listed: DataFrame) -> DataFrame:
     return listed.groupBy("price_country", "price_sku").agg(F.min("prices").alias("prices"))
 
 
-def price_book(products: DataFrame, extended=False, unique=True, rows=None) -> DataFrame:
-    """(price_country, price_sku) -> prices, with lower-case country keys."""
+def price_book(products: DataFrame, extended=False, unique=True) -> DataFrame:
+    """(price_country, price_sku) -> prices, with lower-case country keys.
+
+    How it is joined is left to Spark, which knows its size.
+    """
     listed = _listed(products, country_lower("country", extended))
-    return hint_if_small(_unique(listed) if unique else listed, products, rows)
+    return _unique(listed) if unique else listed
 
 
-def price_book_by_sku(products: DataFrame, rows=None) -> DataFrame:
+def price_book_by_sku(products: DataFrame) -> DataFrame:
     """price_sku -> map from upper-case country key to prices.
 
     The keys have at most two letters, which bounds the map of a SKU.
     """
     listed = _unique(_listed(products, F.lower(F.trim(country_upper("country")))))
-    maps = listed.groupBy("price_sku").agg(
+    return listed.groupBy("price_sku").agg(
         F.map_from_entries(F.collect_list(F.struct("price_country", "prices"))).alias(
             "prices_by_country"
         )
     )
-    return hint_if_small(maps, products, rows)
 
 
 def attach_prices(facts: DataFrame, book: DataFrame, country: Column, sku) -> DataFrame:
@@ -118,5 +107,4 @@ def single_country(countries) -> Column:
 def label_accounts(rows: DataFrame, accounts: DataFrame, *on) -> DataFrame:
     """Rows of the selected accounts, with the account's label as ad_account."""
     on = ["account_id", *on]
-    labels = accounts.select(*on, "ad_account")
-    return rows.join(hint_if_small(labels, accounts), on)
+    return rows.join(accounts.select(*on, "ad_account"), on)

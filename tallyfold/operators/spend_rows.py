@@ -8,8 +8,14 @@ from tallyfold.functions.spend import blank_to_null, six_decimals
 
 REQUIRED = ["date", "ad_account", "country", "spend"]
 OPTIONAL = ["currency", "campaign_id", "campaign_name", "adgroup_id", "adgroup_name"]
-SPEND_COLUMNS = REQUIRED[:4] + OPTIONAL
-CSV_COLUMNS = ["date", "app", "country", "spend"] + OPTIONAL
+SPEND_COLUMNS = [
+    "date", "ad_account", "country", "spend",
+    "currency", "campaign_id", "campaign_name", "adgroup_id", "adgroup_name",
+]
+CSV_COLUMNS = [
+    "date", "app", "country", "spend",
+    "currency", "campaign_id", "campaign_name", "adgroup_id", "adgroup_name",
+]
 
 
 def check_channel(channel):
@@ -48,18 +54,26 @@ def require(rows: DataFrame) -> DataFrame:
     )
 
 
+def to_fields(rows: DataFrame, fields) -> DataFrame:
+    """The rows with a table's columns, found by name in any letter case; missing ones null."""
+    have = {c.lower(): F.col(f"`{c}`") for c in rows.columns}
+    return rows.select(
+        *[have.get(f.name.lower(), F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+    )
+
+
 def with_missing_columns(rows: DataFrame, other: DataFrame) -> DataFrame:
     """Stack two generations of a table; columns of either side survive."""
-    return rows.unionByName(other, allowMissingColumns=True)
+    present = {c.lower() for c in rows.columns}
+    added = [f for f in other.schema.fields if f.name.lower() not in present]
+    fields = [*rows.schema.fields, *added]
+    return to_fields(rows, fields).unionAll(to_fields(other, fields))
 
 
 def csv_rows(rows: DataFrame) -> DataFrame:
     """The nine text columns of the CSV report, spend with six decimals."""
-    texts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in OPTIONAL]
-    return rows.select(
-        F.col("date").cast("string").alias("date"),
-        F.col("ad_account").alias("app"),
-        "country",
-        F.format_string("%.6f", "spend").alias("spend"),
-        *texts,
-    )
+    values = {c: F.coalesce(F.col(c), F.lit("")) for c in OPTIONAL}
+    values["date"] = F.col("date").cast("string")
+    values["app"] = F.col("ad_account")
+    values["spend"] = F.format_string("%.6f", "spend")
+    return rows.select(*[values.get(c, F.col("country")).alias(c) for c in CSV_COLUMNS])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.spend import amount_blank_is_zero, amount_or_zero, report_date
 from tallyfold.operators import lookups
 from tallyfold.operators.spend_rows import SPEND_COLUMNS, conform
+from tallyfold.sources import payloads
 from tallyfold.sources.payloads import require_success
 
 ADGROUP_FIELDS = ["adgroup_name", "campaign_id", "campaign_name"]
@@ -28,52 +29,59 @@ def _out(rows: DataFrame, account) -> DataFrame:
 def asa_campaign_names(pages: DataFrame) -> DataFrame:
     """(account, campaign, name) of campaigns that have an integer id and a name.
 
-    Of a campaign listed twice the later name counts.
+    Of a campaign listed several times the newest name counts: the one fetched last, then
+    the one further on.
     """
-    found = pages.select("org_id", F.posexplode("data").alias("place", "c"))
+    order = payloads.order_columns(pages)
+    found = payloads.good_entries(pages, "data", payloads.ASA_CAMPAIGN, "org_id", *order)
     named = found.select(
         "org_id",
+        *order,
         "place",
-        F.col("c.id").try_cast("bigint").cast("string").alias("campaign_id"),
-        F.col("c.name").alias("campaign_name"),
+        F.col("entry.id").try_cast("bigint").cast("string").alias("campaign_id"),
+        F.col("entry.name").alias("campaign_name"),
     ).filter("campaign_id IS NOT NULL AND campaign_name IS NOT NULL")
     return lookups.newest_details(
-        named, ["org_id", "campaign_id"], ["campaign_name"], ["place"]
+        named, ["org_id", "campaign_id"], ["campaign_name"], [*order, "place"]
     )
 
 
 def asa_campaign_countries(pages: DataFrame) -> DataFrame:
-    """(campaign, country), several countries being MULTI."""
-    country = lookups.single_country("data.countriesOrRegions")
-    return pages.select(
+    """(campaign, country) of the newest page of each campaign, several countries being MULTI."""
+    order = payloads.order_columns(pages)
+    found = pages.select(
+        *order,
         F.col("data.id").try_cast("bigint").cast("string").alias("campaign_id"),
-        country.alias("country"),
-    ).groupBy("campaign_id").agg(F.max("country").alias("country"))
+        lookups.single_country("data.countriesOrRegions").alias("country"),
+    ).filter("campaign_id IS NOT NULL")
+    return lookups.newest_details(found, ["campaign_id"], ["country"], order)
+
+
+def _asa_rows(reports: DataFrame) -> DataFrame:
+    items = "data.reportingDataResponse.row"
+    return payloads.entries(reports, items, payloads.ASA_ROW, "org_id", "campaign_id")
+
+
+def _asa_days(rows: DataFrame) -> DataFrame:
+    keep = ["org_id", "campaign_id", F.col("entry.metadata").alias("metadata")]
+    return payloads.entries(rows, "entry.granularity", payloads.ASA_DAY, *keep)
 
 
 def flatten_asa(reports: DataFrame, campaigns: DataFrame, details: DataFrame) -> DataFrame:
     """Report pages x campaign lists x campaign details; only listed campaigns stay.
 
-    Reports carry org_id and campaign_id, campaign lists org_id.
+    Reports carry org_id and campaign_id, campaign lists org_id. Rows and days that are no
+    objects are left out one by one; `rejected_entries` has them.
     """
-    rows = (
-        reports.select(
-            "org_id",
-            F.col("campaign_id").try_cast("bigint").cast("string").alias("campaign_id"),
-            F.explode("data.reportingDataResponse.row").alias("r"),
-        )
-        .filter("r IS NOT NULL")
-        .select("org_id", "campaign_id", "r.metadata", F.explode("r.granularity").alias("g"))
-        .filter("g IS NOT NULL")
-        .select(
-            "org_id",
-            "campaign_id",
-            report_date(F.col("g.date")).alias("date"),
-            amount_or_zero(F.col("g.localSpend.amount")).alias("spend"),
-            _text(F.col("g.localSpend.currency")).alias("currency"),
-            _text(F.col("metadata.adGroupId")).alias("adgroup_id"),
-            _text(F.col("metadata.adGroupName")).alias("adgroup_name"),
-        )
+    days = payloads.split_entries(_asa_days(payloads.split_entries(_asa_rows(reports))[0]))[0]
+    rows = days.select(
+        "org_id",
+        F.col("campaign_id").try_cast("bigint").cast("string").alias("campaign_id"),
+        report_date(F.col("entry.date")).alias("date"),
+        amount_or_zero(F.col("entry.localSpend.amount")).alias("spend"),
+        _text(F.col("entry.localSpend.currency")).alias("currency"),
+        _text(F.col("metadata.adGroupId")).alias("adgroup_id"),
+        _text(F.col("metadata.adGroupName")).alias("adgroup_name"),
     )
     campaigns = lookups.attach_or_blank(
         asa_campaign_names(campaigns), asa_campaign_countries(details), "campaign_id", ["country"]
@@ -86,42 +94,44 @@ def flatten_asa(reports: DataFrame, campaigns: DataFrame, details: DataFrame) ->
 
 # --- TikTok ------------------------------------------------------------------
 def tiktok_adgroups(pages: DataFrame) -> DataFrame:
-    """Ad-group details; of repeated ones the last on the last page counts.
+    """Ad-group details; of repeated ones the newest counts: the last fetch's last page.
 
     Pages with an error status are left out quietly.
     """
-    found = pages.filter("code = 0").select(
-        "advertiser_id",
-        F.col("data.page_info.page").alias("page"),
-        F.posexplode("data.list").alias("place", "a"),
+    order = payloads.order_columns(pages)
+    paged = pages.filter("code = 0").withColumn("page", F.col("data.page_info.page"))
+    found = payloads.good_entries(
+        paged, "data.list", payloads.TIKTOK_ADGROUP, "advertiser_id", "page", *order
     )
     rows = found.select(
         "advertiser_id",
+        *order,
         "page",
         "place",
-        F.col("a.adgroup_id").alias("adgroup_id"),
-        *[_text(F.col(f"a.{f}")).alias(f) for f in ADGROUP_FIELDS],
+        F.col("entry.adgroup_id").alias("adgroup_id"),
+        *[_text(F.col(f"entry.{f}")).alias(f) for f in ADGROUP_FIELDS],
     ).filter("adgroup_id != ''")
-    return lookups.newest_details(
-        rows, ["advertiser_id", "adgroup_id"], ADGROUP_FIELDS, ["page", "place"]
-    )
+    newest = [*order[:1], "page", *order[1:], "place"] if order[:1] == ["fetch_date"] else ["page", *order, "place"]
+    return lookups.newest_details(rows, ["advertiser_id", "adgroup_id"], ADGROUP_FIELDS, newest)
 
 
 def flatten_tiktok(reports: DataFrame, adgroups: DataFrame) -> DataFrame:
     """Report pages x ad-group detail pages, both with their advertiser_id."""
-    listed = require_success(reports).select("advertiser_id", F.explode("data.list").alias("r"))
+    listed = payloads.good_entries(
+        require_success(reports), "data.list", payloads.TIKTOK_REPORT_ROW, "advertiser_id"
+    )
     rows = listed.filter("advertiser_id != ''").select(
         "advertiser_id",
         report_date(
             F.coalesce(
-                F.nullif(F.col("r.dimensions.stat_time_day"), F.lit("")),
-                F.col("r.dimensions.`stat_time_day.0`"),
+                F.nullif(F.col("entry.dimensions.stat_time_day"), F.lit("")),
+                F.col("entry.dimensions.`stat_time_day.0`"),
             )
         ).alias("date"),
-        _text(F.col("r.dimensions.country_code")).alias("country"),
-        _text(F.col("r.dimensions.adgroup_id")).alias("adgroup_id"),
-        amount_blank_is_zero(F.col("r.metrics.spend")).alias("spend"),
-        _text(F.col("r.metrics.currency")).alias("currency"),
+        _text(F.col("entry.dimensions.country_code")).alias("country"),
+        _text(F.col("entry.dimensions.adgroup_id")).alias("adgroup_id"),
+        amount_blank_is_zero(F.col("entry.metrics.spend")).alias("spend"),
+        _text(F.col("entry.metrics.currency")).alias("currency"),
     )
     named = lookups.attach_or_blank(
         rows, tiktok_adgroups(adgroups), ["advertiser_id", "adgroup_id"], ADGROUP_FIELDS
@@ -133,25 +143,47 @@ def flatten_tiktok(reports: DataFrame, adgroups: DataFrame) -> DataFrame:
 def flatten_meta(insights: DataFrame, accounts: DataFrame) -> DataFrame:
     """Insight pages (with their account_id) x account objects.
 
-    The currency is the account's. A missing amount is an error downstream
-    (required value), a malformed one fails the job; missing ids stay null.
+    The currency is that of the newest page of the account. A missing amount is an error
+    downstream (required value), a malformed one fails the job; missing ids stay null.
     """
-    rows = insights.select("account_id", F.explode("data").alias("r")).select(
+    found = payloads.good_entries(insights, "data", payloads.META_INSIGHT, "account_id")
+    rows = found.select(
         "account_id",
-        report_date(F.col("r.date_start")).alias("date"),
-        F.col("r.country").alias("country"),
-        F.col("r.spend").cast("double").alias("spend"),
-        F.col("r.adset_id").alias("adgroup_id"),
-        F.col("r.adset_name").alias("adgroup_name"),
-        F.col("r.campaign_id").alias("campaign_id"),
-        F.col("r.campaign_name").alias("campaign_name"),
+        report_date(F.col("entry.date_start")).alias("date"),
+        F.col("entry.country").alias("country"),
+        F.col("entry.spend").cast("double").alias("spend"),
+        F.col("entry.adset_id").alias("adgroup_id"),
+        F.col("entry.adset_name").alias("adgroup_name"),
+        F.col("entry.campaign_id").alias("campaign_id"),
+        F.col("entry.campaign_name").alias("campaign_name"),
+    )
+    # Without dates and files, of equally new pages the greater currency counts.
+    currency = lookups.newest_details(
+        accounts, ["account_id"], ["currency"], payloads.order_columns(accounts)
     )
-    currency = accounts.groupBy("account_id").agg(F.max("currency").alias("currency"))
     return _out(
         lookups.attach_or_blank(rows, currency, "account_id", ["currency"]), "account_id"
     )
 
 
+def rejected_entries(channel, reports: DataFrame) -> DataFrame:
+    """(account, level, place, entry_text) of a channel's report entries that are no objects."""
+
+    def rejected(found, account, level):
+        _, bad = payloads.split_entries(found)
+        return bad.select(F.col(account).alias("account_id"), F.lit(level).alias("level"), "place", "entry_text")
+
+    if channel == "asa":
+        rows = _asa_rows(reports)
+        days = _asa_days(payloads.split_entries(rows)[0])
+        return rejected(rows, "org_id", "row").unionAll(rejected(days, "org_id", "day"))
+    if channel == "tiktok":
+        found = payloads.entries(reports, "data.list", payloads.TIKTOK_REPORT_ROW, "advertiser_id")
+        return rejected(found, "advertiser_id", "row")
+    found = payloads.entries(reports, "data", payloads.META_INSIGHT, "account_id")
+    return rejected(found, "account_id", "row")
+
+
 def to_spend_rows(flat: DataFrame, labels: DataFrame) -> DataFrame:
     """Flat rows of selected accounts, labelled and cleaned for the spend table."""
     return conform(lookups.label_accounts(flat, labels))

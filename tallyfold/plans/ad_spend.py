@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyfold import fixed_values as fv
 from tallyfold.functions import spend as sp
+from tallyfold.rules import EXAMPLE
 
 COLUMNS = [
     "date",
@@ -36,38 +37,41 @@ def _shape(rows: DataFrame, channel, app, platform, usd) -> DataFrame:
     return rows.select(*[computed.get(c, F.col(c)).alias(c) for c in COLUMNS])
 
 
-def conform_asa(rows: DataFrame) -> DataFrame:
+def conform_asa(rows: DataFrame, rules=EXAMPLE) -> DataFrame:
     """Search campaigns of the app their name starts with; the store is iOS only."""
     return _shape(
-        rows.filter(sp.is_asa_campaign("campaign_name")),
+        rows.filter(sp.is_asa_campaign("campaign_name", rules)),
         fv.CHANNEL_ASA,
-        sp.asa_app("campaign_name"),
+        sp.asa_app("campaign_name", rules),
         F.lit(fv.PLATFORM_IOS),
-        sp.asa_usd("spend"),
+        sp.asa_usd("spend", rules),
     )
 
 
-def conform_meta(rows: DataFrame) -> DataFrame:
+def conform_meta(rows: DataFrame, rules=EXAMPLE) -> DataFrame:
     return _shape(
-        rows.filter(sp.label_matches("ad_account", fv.META_APP_BY_LABEL)),
+        rows.filter(sp.label_matches("ad_account", rules.meta_labels)),
         fv.CHANNEL_META,
-        sp.meta_app("ad_account"),
+        sp.meta_app("ad_account", rules),
         sp.platform_from_campaign("campaign_name"),
-        sp.meta_usd("spend", "currency"),
+        sp.meta_usd("spend", "currency", rules),
     )
 
 
-def conform_tiktok(rows: DataFrame) -> DataFrame:
+def conform_tiktok(rows: DataFrame, rules=EXAMPLE) -> DataFrame:
     return _shape(
-        rows.filter(sp.label_matches("ad_account", fv.TIKTOK_APP_BY_LABEL)),
+        rows.filter(sp.label_matches("ad_account", rules.tiktok_labels)),
         fv.CHANNEL_TIKTOK,
-        sp.tiktok_app("ad_account"),
+        sp.tiktok_app("ad_account", rules),
         sp.platform_from_campaign("campaign_name"),
-        sp.tiktok_usd("spend"),
+        sp.tiktok_usd("spend", rules),
     )
 
 
-def ad_spend(asa: DataFrame, meta: DataFrame, tiktok: DataFrame) -> DataFrame:
+def ad_spend(asa: DataFrame, meta: DataFrame, tiktok: DataFrame, rules=EXAMPLE) -> DataFrame:
+    """All channels; `rules` name the apps and hold the rates."""
     return (
-        conform_asa(asa).unionByName(conform_meta(meta)).unionByName(conform_tiktok(tiktok))
+        conform_asa(asa, rules)
+        .unionByName(conform_meta(meta, rules))
+        .unionByName(conform_tiktok(tiktok, rules))
     )

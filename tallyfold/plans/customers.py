@@ -49,7 +49,7 @@ UNSHARED_EVENT_COLUMNS = ["transaction_id", "subscription_group", "app_id"]
 
 
 def customer_rollup(
-    billing: DataFrame, products: DataFrame, product="any", book_rows=None
+    billing: DataFrame, products: DataFrame, product="any"
 ) -> DataFrame:
     """Billing rows to customers; `product` is "any" or "latest" (by start time).
 
@@ -62,7 +62,7 @@ def customer_rollup(
     if product not in picks:
         raise ValueError(f"product must be one of {', '.join(picks)}")
     signals = cohorts.billing_signals()
-    book = lookups.price_book(products, rows=book_rows)
+    book = lookups.price_book(products)
     priced = lookups.attach_prices(
         billing, book, trimmed_lower("country"), "product_identifier"
     )
@@ -125,7 +125,7 @@ def user_events_rollup(events: DataFrame) -> DataFrame:
 
 
 def activation_rollup(
-    android: DataFrame, ios: DataFrame, products: DataFrame, allow_fanout=False, book_rows=None
+    android: DataFrame, ios: DataFrame, products: DataFrame, allow_fanout=False
 ) -> DataFrame:
     """Subscription events to users, each activated by trial or directly.
 
@@ -156,7 +156,7 @@ def activation_rollup(
         )
         .withColumns(cohorts.attribute_activation("converted_at", "direct_at"))
     )
-    book = lookups.price_book(products, extended=True, unique=not allow_fanout, rows=book_rows)
+    book = lookups.price_book(products, extended=True, unique=not allow_fanout)
     priced = lookups.attach_prices(users, book, trimmed_lower("country"), "product_id")
     amounts = {
         name: price_by_platform("platform", F.col(f"prices.{name}"), F.col(name))

@@ -5,6 +5,10 @@ Landing layout, one folder per provider:
     asa/reports/org_id=*/campaign_id=*/   asa/campaigns/org_id=*/   asa/details/
     tiktok/reports/advertiser_id=*/       tiktok/adgroups/advertiser_id=*/
     meta/insights/account_id=*/           meta/accounts/
+
+Reports have a further folder level `report_date=*/` above these, the day they are about,
+and the others may have `fetch_date=*/`. A load opens the pages of its window only, so an
+old page with an error status does not stop it. Pages without the level are always read.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,23 +23,27 @@ from tallyfold.sources import payloads
 from tallyfold.sources.accounts import accounts, select_accounts
 
 
-def _flat(spark, channel, folder) -> DataFrame:
+def _flat(spark, channel, folder, window) -> DataFrame:
     def pages(kind, schema, *ids):
         return payloads.read_pages(spark, f"{folder}/{channel}/{kind}", schema, *ids)
 
+    def reports(kind, schema, *ids):
+        day = F.col("report_date")
+        return pages(kind, schema, *ids).filter(day.isNull() | day.between(*window))
+
     if channel == "asa":
         return ad_reports.flatten_asa(
-            pages("reports", payloads.ASA_REPORT, "org_id", "campaign_id"),
+            reports("reports", payloads.ASA_REPORT, "org_id", "campaign_id"),
             pages("campaigns", payloads.ASA_CAMPAIGNS, "org_id"),
             pages("details", payloads.ASA_CAMPAIGN_DETAIL),
         )
     if channel == "tiktok":
         return ad_reports.flatten_tiktok(
-            pages("reports", payloads.TIKTOK_REPORT, "advertiser_id"),
-            pages("adgroups", payloads.TIKTOK_ADGROUPS, "advertiser_id"),
+            reports("reports", payloads.TIKTOK_PAGE, "advertiser_id"),
+            pages("adgroups", payloads.TIKTOK_PAGE, "advertiser_id"),
         )
     return ad_reports.flatten_meta(
-        pages("insights", payloads.META_INSIGHTS, "account_id"),
+        reports("insights", payloads.META_INSIGHTS, "account_id"),
         pages("accounts", payloads.META_ACCOUNT),
     )
 
@@ -47,8 +55,9 @@ def channel_rows(
 
     Rows without a usable date stay in, so that the load refuses them.
     """
-    flat = _flat(spark, check_channel(channel), folder)
-    in_window = F.coalesce(F.col("date").between(*report_window(start, end)), F.lit(True))
+    window = report_window(start, end)
+    flat = _flat(spark, check_channel(channel), folder, window)
+    in_window = F.coalesce(F.col("date").between(*window), F.lit(True))
     labels = select_accounts(accounts(spark), channel, new)
     return ad_reports.to_spend_rows(flat.filter(in_window), labels)
 
@@ -62,3 +71,12 @@ def load_channel(
     table = f"`{fv.SPEND_SCHEMA}`.`{fv.SPEND_TABLES[channel]}`"
     append_spend(rows, table, overwrite_window)
     return table
+
+
+def load_channels(spark: SparkSession, folder, channels=None, start=None, end=None, **options):
+    """Load the named channels, by default all, one after another.
+
+    Returns their tables by channel. The first channel that fails ends the run.
+    """
+    names = [check_channel(c) for c in channels or fv.SPEND_TABLES]
+    return {c: load_channel(spark, c, folder, start, end, **options) for c in names}

@@ -12,6 +12,7 @@ from tallyfold.functions.countries import country_upper, trimmed_lower
 from tallyfold.functions.store import app_name, composite_sku, is_known_bundle
 from tallyfold.operators import cohorts, lookups
 from tallyfold.operators.picks import any_row, latest, pick_any
+from tallyfold.rules import EXAMPLE
 
 COLUMNS = [
     "TransactionId",
@@ -35,7 +36,7 @@ COLUMNS = [
 ANDROID_COLUMNS = [c for c in COLUMNS if c != "app_apple_id"]
 
 
-def ios_transactions(notifications: DataFrame, products: DataFrame, book_rows=None) -> DataFrame:
+def ios_transactions(notifications: DataFrame, products: DataFrame, rules=EXAMPLE) -> DataFrame:
     """iOS transactions of the known apps.
 
     Flags, latest product and country look at all rows of an id; the date and
@@ -44,7 +45,7 @@ def ios_transactions(notifications: DataFrame, products: DataFrame, book_rows=No
     """
     key = F.col(cohorts.IOS_ID)
     signals = cohorts.ios_signals()
-    known = is_known_bundle("bundleId")
+    known = is_known_bundle("bundleId", rules)
     country = country_upper("countryCode")
 
     def of_known(value):
@@ -74,26 +75,26 @@ def ios_transactions(notifications: DataFrame, products: DataFrame, book_rows=No
             "product_id": F.when(has_id, F.col("product_id")),
         }
     )
-    book = lookups.price_book_by_sku(products, book_rows)
+    book = lookups.price_book_by_sku(products)
     keyed = flagged.withColumn("price_sku", F.col("product_id"))
     priced = lookups.spread_join(keyed, book, ["price_sku"]).withColumn(
         "prices", lookups.best_price("countries", F.col("prices_by_country"))
     )
     return (
         priced.withColumns(lookups.price_columns())
-        .withColumns({"platform": F.lit(fv.PLATFORM_IOS), "app_name": app_name("bundle_id")})
+        .withColumns({"platform": F.lit(fv.PLATFORM_IOS), "app_name": app_name("bundle_id", rules)})
         .withColumnRenamed(cohorts.IOS_ID, "TransactionId")
         .select(*COLUMNS)
     )
 
 
-def play_transactions(notifications: DataFrame, products: DataFrame, book_rows=None) -> DataFrame:
+def play_transactions(notifications: DataFrame, products: DataFrame, rules=EXAMPLE) -> DataFrame:
     """Android transactions of the known apps, renewals folded into their base order."""
     signals = cohorts.play_signals()
     rows = cohorts.with_base_order(notifications).withColumn(
         "sku", composite_sku("productId", "basePlanId")
     )
-    book = lookups.price_book(products, rows=book_rows)
+    book = lookups.price_book(products)
     priced = lookups.attach_prices(rows, book, trimmed_lower("regionCode"), "sku")
     rolled = priced.groupBy(cohorts.PLAY_ID).agg(
         any_row(signals["trial"]).alias("trial"),
@@ -106,7 +107,7 @@ def play_transactions(notifications: DataFrame, products: DataFrame, book_rows=N
         pick_any("sku").alias("product_id"),
         pick_any("packageName").alias("bundle_id"),
         pick_any("currencyCode").alias("currency"),
-        pick_any(app_name("packageName")).alias("app_name"),
+        pick_any(app_name("packageName", rules)).alias("app_name"),
         F.min("prices").alias("prices"),
     )
     # base_order_id is null only when the order id is, and then no signal can

@@ -16,9 +16,15 @@ SETTINGS = {
 }
 
 
-def build_session(app="tallyfold", master=None, **extra):
+#: Input that one shuffle partition stands for to begin with; adaptive execution merges them.
+PARTITION_BYTES = 128 << 20
+
+
+def build_session(app="tallyfold", master=None, input_bytes=None, **extra):
     """A session with the settings above; `extra` wins over them.
 
+    `input_bytes`, about how much the jobs read, sets the initial number of shuffle partitions.
+
     On a cluster leave `master` unset and let the submitter's settings stand.
     `spark.sql.shuffle.partitions` is left to the caller: a few per core locally,
     about input bytes / 128 MB on a cluster (merged downwards at run time).
@@ -26,6 +32,9 @@ def build_session(app="tallyfold", master=None, **extra):
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    settings = dict(SETTINGS)
+    if input_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(max(200, -(-input_bytes // PARTITION_BYTES)))
+    for key, value in {**settings, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -1,11 +1,10 @@
 """Catalog sinks: full refresh, append, additive schema change, CSV."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyfold import fixed_values as fv
-from tallyfold.operators.spend_rows import csv_rows, require
+from tallyfold.operators.spend_rows import csv_rows, require, to_fields
 from tallyfold.sources.tables import SPEND
 
 
@@ -56,9 +55,7 @@ def append_spend(rows: DataFrame, table, overwrite_window=False):
     """
     spark = rows.sparkSession
     ensure_table(spark, table)
-    columns = spark.table(table).columns
-    missing = [F.lit(None).alias(c) for c in columns if c not in rows.columns]
-    ready = require(rows).select("*", *missing).select(*columns).hint("rebalance", "date")
+    ready = to_fields(require(rows), spark.table(table).schema.fields).hint("rebalance", "date")
     if not overwrite_window:
         ready.write.mode("append").insertInto(table)
         return

@@ -2,64 +2,68 @@
 
 A provider's pages lie in one directory per account or campaign, named like
 `advertiser_id=123/`, so the id becomes a column and all pages are one scan.
+
+The entries of a page's lists are read as text and parsed one by one, so an entry of the
+wrong kind costs itself and not its page.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-ASA_REPORT = """
-    data struct<reportingDataResponse: struct<row: array<struct<
-        metadata: struct<adGroupId: string, adGroupName: string>,
-        granularity: array<struct<
-            date: string,
-            localSpend: struct<amount: string, currency: string>>>>>>>
+ASA_REPORT = "data struct<reportingDataResponse: struct<row: array<string>>>"
+ASA_ROW = """
+    metadata struct<adGroupId: string, adGroupName: string>,
+    granularity array<string>
 """
-ASA_CAMPAIGNS = "data array<struct<id: string, name: string>>"
+ASA_DAY = "date string, localSpend struct<amount: string, currency: string>"
+ASA_CAMPAIGNS = "data array<string>"
+ASA_CAMPAIGN = "id string, name string"
 ASA_CAMPAIGN_DETAIL = "data struct<id: string, countriesOrRegions: array<string>>"
-TIKTOK_REPORT = """
+TIKTOK_PAGE = """
     code int,
     message string,
-    data struct<
-        list: array<struct<
-            dimensions: struct<
-                stat_time_day: string,
-                `stat_time_day.0`: string,
-                country_code: string,
-                adgroup_id: string>,
-            metrics: struct<spend: string, currency: string>>>,
-        page_info: struct<page: int, total_page: int>>
+    data struct<list: array<string>, page_info: struct<page: int, total_page: int>>
 """
-TIKTOK_ADGROUPS = """
-    code int,
-    message string,
-    data struct<
-        list: array<struct<
-            adgroup_id: string,
-            adgroup_name: string,
-            campaign_id: string,
-            campaign_name: string>>,
-        page_info: struct<page: int, total_page: int>>
+TIKTOK_REPORT_ROW = """
+    dimensions struct<
+        stat_time_day: string,
+        `stat_time_day.0`: string,
+        country_code: string,
+        adgroup_id: string>,
+    metrics struct<spend: string, currency: string>
+"""
+TIKTOK_ADGROUP = """
+    adgroup_id string, adgroup_name string, campaign_id string, campaign_name string
 """
-META_INSIGHTS = """
-    data array<struct<
-        date_start: string,
-        date_stop: string,
-        country: string,
-        spend: string,
-        adset_id: string,
-        adset_name: string,
-        campaign_id: string,
-        campaign_name: string>>
+META_INSIGHTS = "data array<string>"
+META_INSIGHT = """
+    date_start string,
+    date_stop string,
+    country string,
+    spend string,
+    adset_id string,
+    adset_name string,
+    campaign_id string,
+    campaign_name string
 """
 META_ACCOUNT = "id string, account_id string, name string, currency string"
 
+# Where a page comes from; what is fetched later is newer, then what lies further on.
+ORDER = ["fetch_date", "page_file"]
+
 
 def read_pages(spark: SparkSession, path, schema, *id_columns) -> DataFrame:
-    """All pages under a directory, with the ids of their folders and their file."""
+    """All pages under a directory, with the ids and dates of their folders and their file.
+
+    Folders may also be named like `report_date=2025-07-01/` (the day that reports are
+    about) and `fetch_date=2025-07-02/`; without them these columns are null. A filter on
+    them is applied to the folders, before any page is opened.
+    """
     fields = StructType.fromDDL(schema)
     for name in id_columns:
         fields = fields.add(name, "string")
+    fields = fields.add("report_date", "date").add("fetch_date", "date")
     pages = spark.read.schema(fields).option("multiLine", True).json(path)
     return pages.withColumn("page_file", F.col("_metadata.file_path"))
 
@@ -86,3 +90,23 @@ def require_success(pages: DataFrame) -> DataFrame:
     )
     data = F.when(F.col("code") == 0, F.col("data"))
     return pages.withColumn("data", data.otherwise(failure.cast(pages.schema["data"].dataType)))
+
+
+def entries(pages: DataFrame, items, schema, *keep) -> DataFrame:
+    """One row per entry of a list of texts: `keep`, its place, its text, and `entry` if it is an object."""
+    found = pages.select(*keep, F.posexplode(items).alias("place", "entry_text"))
+    is_object = F.startswith(F.ltrim("entry_text"), F.lit("{"))
+    return found.withColumn("entry", F.when(is_object, F.from_json("entry_text", schema)))
+
+
+def split_entries(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): rejected entries are no objects."""
+    return found.filter("entry IS NOT NULL"), found.filter("entry IS NULL").drop("entry")
+
+
+def good_entries(pages: DataFrame, items, schema, *keep) -> DataFrame:
+    return split_entries(entries(pages, items, schema, *keep))[0]
+
+
+def order_columns(pages: DataFrame) -> list[str]:
+    return [c for c in ORDER if c in pages.columns]

@@ -57,7 +57,7 @@ SOURCES = {
 }
 
 # Headings of the event export that are not the snake case of themselves.
-EVENT_HEADINGS = {"Event Receive Date": "event_ts", "Install Date": "install_ts"}
+EVENT_HEADINGS = {"event receive date": "event_ts", "install date": "install_ts"}
 
 
 class SchemaMismatch(ValueError):
@@ -65,17 +65,17 @@ class SchemaMismatch(ValueError):
 
 
 def snake_case(rows: DataFrame) -> DataFrame:
-    """Spaced headings (`Q user id`) as plain names (`q_user_id`)."""
-    return rows.toDF(
-        *[EVENT_HEADINGS.get(c, c.strip().lower().replace(" ", "_")) for c in rows.columns]
-    )
+    """Spaced headings (`Q user id`), in any letter case, as plain names (`q_user_id`)."""
+    names = [" ".join(c.lower().split()) for c in rows.columns]
+    return rows.toDF(*[EVENT_HEADINGS.get(n, n.replace(" ", "_")) for n in names])
 
 
 def conform_to(rows: DataFrame, ddl) -> DataFrame:
     """The declared columns, found by name in any letter case.
 
     A missing column or one of another type is an error; the two timestamp
-    types stand for each other. Other columns are not read.
+    types stand for each other, and where text is declared any plain value is
+    read as its text. Other columns are not read.
     """
     found = {f.name.lower(): f for f in rows.schema.fields}
     problems, columns = [], []
@@ -85,9 +85,12 @@ def conform_to(rows: DataFrame, ddl) -> DataFrame:
             problems.append(f"{want.name} is missing")
             continue
         kind, wanted = have.dataType.typeName(), want.dataType.typeName()
-        if kind.removesuffix("_ntz") != wanted:
+        column = F.col(f"`{have.name}`")
+        if wanted == "string" and kind not in ("array", "map", "struct", "binary"):
+            column = column.cast("string")
+        elif kind.removesuffix("_ntz") != wanted:
             problems.append(f"{want.name} is {kind}, not {wanted}")
-        columns.append(F.col(f"`{have.name}`").alias(want.name))
+        columns.append(column.alias(want.name))
     if problems:
         raise SchemaMismatch("; ".join(problems))
     return rows.select(*columns)

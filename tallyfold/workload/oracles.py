@@ -6,11 +6,46 @@ struct, a stated code table instead of the shortening rule.
 """
 
 from tallyfold import fixed_values as fv
-from tallyfold.workload import pages, proxies
+from tallyfold.workload import proxies
 from tallyfold.workload.proxies import as_sql, item, products_sql, quoted
 
 ORACLES = {}
 
+# The checks' own lists, so that a wrong value in the library shows.
+APP_BY_BUNDLE = {
+    "com.example.meadow": "Meadow", "com.example.Lantern": "Lantern",
+    "com.example.pantry": "Pantry", "com.example.stride": "Stride",
+}
+META_APP_BY_LABEL = {
+    "Meadow Web": "Meadow", "Own_Lantern": "Lantern", "Lantern (SGD)": "Lantern",
+    "Pantry Ads": "Pantry", "Stride Training": "Stride",
+}
+TIKTOK_APP_BY_LABEL = {
+    "[Android/iOS] Pantry": "Pantry", "[iOS] Stride": "Stride", "[IOS] Lantern": "Lantern",
+    "(Android) Lantern": "Lantern", "[iOS] Meadow": "Meadow",
+}
+EUROPE_ACTIVATION = (
+    "al at be bg by ch cy cz de dk ee es fi gr hr hu ie is it lt lu lv md mk mt nl no pl "
+    "pt ro rs ru se si sk tr ua"
+).split()
+EUROPE = [*EUROPE_ACTIVATION, "ad", "fr", "gb"]
+ACCOUNTS = {
+    "tiktok": {
+        "[Android/iOS] Pantry": "7000000000000000001", "[iOS] Stride": "7000000000000000002",
+        "[IOS] Lantern": "7000000000000000003", "(Android) Lantern": "7000000000000000004",
+        "[iOS] Harbour": "7000000000000000005", "Orchard (iOS)": "7000000000000000006",
+        "[iOS] Meadow": "7000000000000000007",
+    },
+    "meta": {
+        "Pantry Ads": "300000000000001", "Stride Training": "300000000000002",
+        "Own_Lantern": "300000000000003", "Lantern (SGD)": "300000000000004",
+        "Orchard (iOS)": "300000000000005", "Orchard (Android)": "300000000000006",
+        "Willow Ads": "300000000000007", "Cedar Classes": "300000000000008",
+        "Meadow Web": "300000000000009",
+    },
+    "asa": {"Own": "8000001"},
+}
+
 
 def texts(values):
     return "(" + ", ".join(quoted(v) for v in values) + ")"
@@ -44,26 +79,26 @@ def lower_key(c, extra=()):
 
 def region(c, europe):
     arms = [
-        (f"lower({c}) IN {texts(europe)}", fv.REGION_EUROPE),
-        (f"lower({c}) IN {texts(fv.NORTH_AMERICA)}", fv.REGION_NORTH_AMERICA),
+        (f"lower({c}) IN {texts(europe)}", "EUROPE"),
+        (f"lower({c}) IN ('us', 'ca')", "US/CA"),
     ]
-    return cases(arms, quoted(fv.REGION_OTHER))
+    return cases(arms, quoted("Rest of The world"))
 
 
 def app(c):
-    return cases([(f"{c} = '{b}'", a) for b, a in fv.APP_BY_BUNDLE.items()])
+    return cases([(f"{c} = '{b}'", a) for b, a in APP_BY_BUNDLE.items()])
 
 
-KNOWN = f"bundleId IN {texts(fv.APP_BY_BUNDLE)}"
-ASA_KEEP = f"upper(left(campaign_name, 3)) = {quoted(fv.ASA_CAMPAIGN_PREFIX)}"
-ASA_APP = cases([(ASA_KEEP, fv.ASA_CAMPAIGN_APP)], quoted(fv.UNKNOWN_APP))
+KNOWN = f"bundleId IN {texts(APP_BY_BUNDLE)}"
+ASA_KEEP = "upper(left(campaign_name, 3)) = 'HAR'"
+ASA_APP = cases([(ASA_KEEP, "Meadow")], quoted("Unknown"))
 META_APP = cases(
-    [(f"ad_account = {quoted(t)}", a) for t, a in fv.META_APP_BY_LABEL.items()],
-    quoted(fv.UNKNOWN_APP),
+    [(f"ad_account = {quoted(t)}", a) for t, a in META_APP_BY_LABEL.items()],
+    quoted("Unknown"),
 )
 TIKTOK_APP = cases(
-    [(f"ad_account LIKE {quoted(f'%{t}%')}", a) for t, a in fv.TIKTOK_APP_BY_LABEL.items()],
-    quoted(fv.UNKNOWN_APP),
+    [(f"ad_account LIKE {quoted(f'%{t}%')}", a) for t, a in TIKTOK_APP_BY_LABEL.items()],
+    quoted("Unknown"),
 )
 PLATFORM = """CASE WHEN campaign_name ILIKE '%ios%' THEN 'iOS'
     WHEN campaign_name ILIKE '%and%' THEN 'Android' ELSE 'iOS' END"""
@@ -319,7 +354,7 @@ def _customers(product):
             coalesce(r.{RC} IN (FROM rc_lenient), false) AS has_converted_trial_lenient,
             coalesce(r.{RC} IN (FROM rc_strict), false) AS has_converted_trial_strict,
             product_id, purchased_price_usd, {PRICE_LIST},
-            {region('country', fv.EUROPE)} AS region
+            {region('country', EUROPE)} AS region
         FROM rolled r LEFT JOIN {least_price('priced', RC)} p
             ON r.{RC} IS NOT DISTINCT FROM p.{RC}"""
     )
@@ -360,7 +395,7 @@ ORACLES["activation_rollup"] = (
         {_amount('expected_proceeds_in_usd', 'own_proceeds_usd')},
         {_amount('customer_price_in_currency', 'own_price')},
         {_amount('expected_proceeds_in_currency', 'own_proceeds')},
-        {DURATION} AS duration, {region('country', fv.EUROPE_ACTIVATION)} AS region
+        {DURATION} AS duration, {region('country', EUROPE_ACTIVATION)} AS region
     FROM users LEFT JOIN t USING (q_user_id) LEFT JOIN c USING (q_user_id)
     LEFT JOIN d USING (q_user_id)
     LEFT JOIN lower_book b ON price_country = lower(trim(country)) AND price_sku = product_id"""
@@ -381,11 +416,11 @@ ORACLES["ad_spend"] = " UNION ALL ".join(
         _spend(proxies.ASA_ADS, "Apple Search Ads", ASA_APP, "'iOS'", "spend", ASA_KEEP),
         _spend(
             proxies.META_ADS, "Meta", META_APP, PLATFORM, META_USD,
-            like_any("ad_account", fv.META_APP_BY_LABEL),
+            like_any("ad_account", META_APP_BY_LABEL),
         ),
         _spend(
             proxies.TIKTOK_ADS, "Tiktok", TIKTOK_APP, PLATFORM, TIKTOK_USD,
-            like_any("ad_account", fv.TIKTOK_APP_BY_LABEL),
+            like_any("ad_account", TIKTOK_APP_BY_LABEL),
         ),
     ]
 )
@@ -393,7 +428,7 @@ ORACLES["ad_spend"] = " UNION ALL ".join(
 
 # --- report pages: the plain relations behind them -----------------------------
 def _labels(channel):
-    rows = ", ".join(f"({quoted(n)}, {quoted(i)})" for n, i in fv.ACCOUNTS[channel].items())
+    rows = ", ".join(f"({quoted(n)}, {quoted(i)})" for n, i in ACCOUNTS[channel].items())
     return f"labels AS (SELECT * FROM (VALUES {rows}) v(ad_account, account_id))"
 
 
@@ -401,14 +436,21 @@ def _or_null(*columns):
     return ", ".join(f"nullif({c}, '') AS {c}" for c in columns)
 
 
+def _last(key, order, relation):
+    """The last row of each key; a key of a campaign has to be a number."""
+    return f"""SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (
+        PARTITION BY {key} ORDER BY {order} DESC) AS place FROM ({as_sql(relation)})
+        WHERE {key} NOT LIKE 'x%') WHERE place = 1"""
+
+
 _CLEAN = f"""date, labels.ad_account, country, round(spend, 6) AS spend,
     {_or_null('currency', 'campaign_id', 'campaign_name', 'adgroup_id', 'adgroup_name')}"""
 ORACLES["asa_flatten"] = (
     with_(
         _labels("asa"),
-        f"ads AS ({as_sql(proxies.ASA_ADS)})",
-        f"campaigns AS ({as_sql(proxies.CAMPAIGNS)})",
-        f"details AS ({as_sql(proxies.CAMPAIGN_DETAILS)})",
+        f"ads AS ({as_sql(proxies.ASA_WHOLE)})",
+        f"campaigns AS ({_last('campaign_id', 'fetch_date', proxies.CAMPAIGNS)})",
+        f"details AS ({_last('campaign_id', 'fetch_date', proxies.CAMPAIGN_DETAILS)})",
         """daily AS (
             SELECT * EXCLUDE (campaign_name) FROM ads UNION ALL
             SELECT * EXCLUDE (campaign_name) REPLACE (CAST(date + 1 AS DATE) AS date,
@@ -427,7 +469,7 @@ DETAILS = f"""details AS (SELECT * FROM (SELECT *, row_number() OVER (
 ORACLES["tiktok_flatten"] = (
     with_(
         _labels("tiktok"),
-        f"ads AS ({as_sql(proxies.TIKTOK_ADS)})",
+        f"ads AS ({as_sql(proxies.TIKTOK_WHOLE)})",
         DETAILS.format(keep="code = 0"),
         f"""daily AS (SELECT date, country, spend, currency, adgroup_id,
                 {item(proxies.TIKTOK_ACCOUNT, 'CAST(adgroup_id AS BIGINT) % 7', '|')} AS account_id
@@ -443,8 +485,8 @@ ORACLES["tiktok_flatten"] = (
 ORACLES["meta_flatten"] = (
     with_(
         _labels("meta"),
-        f"ads AS ({as_sql(proxies.META_ADS)})",
-        f"accounts AS ({as_sql(pages.META_ACCOUNTS)})",
+        f"ads AS ({as_sql(proxies.META_WHOLE)})",
+        f"accounts AS ({_last('account_id', 'fetch_date', proxies.META_ACCOUNTS)})",
         """flat AS (SELECT ads.* EXCLUDE (currency), accounts.currency
             FROM ads LEFT JOIN accounts USING (account_id)
             UNION ALL SELECT ads.* EXCLUDE (currency) REPLACE (CAST(date + 1 AS DATE) AS date,
@@ -454,7 +496,7 @@ ORACLES["meta_flatten"] = (
     + f"SELECT {_CLEAN} FROM flat JOIN labels USING (account_id)"
 )
 ORACLES["payload_error_split"] = f"""SELECT advertiser_id, code,
-    CASE code WHEN 0 THEN 'OK' ELSE 'limit reached' END AS message, code = 0 AS ok, 1 AS n
+    CASE code WHEN 0 THEN 'OK' ELSE 'limit reached' END AS message, code = 0 AS ok, 3 AS n
     FROM ({as_sql(proxies.ADGROUPS)})"""
 
 # --- aggregates ----------------------------------------------------------------
@@ -506,7 +548,7 @@ ORACLES["price_lookup_post"] = (
         AND lower(trim(users.country)) = {lower_key('products.country', ['MTQ'])}"""
 )
 ORACLES["adgroup_lookup"] = (
-    with_(f"ads AS ({as_sql(proxies.TIKTOK_ADS)})", DETAILS.format(keep="true"))
+    with_(f"ads AS ({as_sql(proxies.TIKTOK_WHOLE)})", DETAILS.format(keep="true"))
     + """SELECT adgroup_id, date, spend, coalesce(details.adgroup_name, '') AS adgroup_name,
     coalesce(details.campaign_id, '') AS campaign_id,
     coalesce(details.campaign_name, '') AS campaign_name
@@ -514,9 +556,9 @@ ORACLES["adgroup_lookup"] = (
 )
 ORACLES["asa_campaign_country"] = f"""SELECT campaign_id,
     CASE countries WHEN 0 THEN '' WHEN 1 THEN first ELSE 'MULTI' END AS country
-    FROM ({as_sql(proxies.CAMPAIGN_DETAILS)})"""
+    FROM ({_last('campaign_id', 'fetch_date', proxies.CAMPAIGN_DETAILS)})"""
 _LABEL_ROWS = ", ".join(
-    f"({quoted(c)}, {quoted(n)}, {quoted(i)})" for c, d in fv.ACCOUNTS.items() for n, i in d.items()
+    f"({quoted(c)}, {quoted(n)}, {quoted(i)})" for c, d in ACCOUNTS.items() for n, i in d.items()
 )
 ORACLES["account_label"] = f"""SELECT a.account_id, date, spend, a.channel, v.ad_account FROM (
     SELECT 'tiktok' AS channel, * FROM ({as_sql(proxies.TIKTOK_ADS)})
@@ -536,10 +578,10 @@ _scalar("country_norm", IOS, "ios", _COUNTRY.format(upper_key("countryCode")))
 _scalar("country_norm_b", IOS, "ios", _COUNTRY.format(lower_key("countryCode")))
 _scalar("country_norm_ext", IOS, "ios", _COUNTRY.format(lower_key("countryCode", ["MTQ"])))
 _REGION = f"{RC}, country, {{}} AS region"
-_scalar("region_bucket", BILLING, "billing", _REGION.format(region("country", fv.EUROPE)))
+_scalar("region_bucket", BILLING, "billing", _REGION.format(region("country", EUROPE)))
 _scalar(
     "region_bucket_38", BILLING, "billing",
-    _REGION.format(region("country", set(fv.EUROPE) - {"ad", "fr", "gb"})),
+    _REGION.format(region("country", EUROPE_ACTIVATION)),
 )
 _scalar("app_name_map", IOS, "ios", f'event_id, "bundleId", {app("bundleId")} AS app_name')
 _scalar("platform_from_campaign", ADS, "ads", f"campaign_name, {PLATFORM} AS platform")
@@ -567,7 +609,7 @@ _scalar(
     AS DOUBLE) AS price""",
 )
 _AD_ROW = "SELECT date, ad_account, campaign_id, campaign_name, adgroup_id, spend FROM ads WHERE "
-_LABELS = [*fv.META_APP_BY_LABEL, *fv.TIKTOK_APP_BY_LABEL]
+_LABELS = [*META_APP_BY_LABEL, *TIKTOK_APP_BY_LABEL]
 ORACLES["like_channel_filter"] = with_(ADS) + _AD_ROW + like_any("ad_account", _LABELS)
 ORACLES["prefix_filter"] = with_(ADS) + _AD_ROW + "campaign_name ILIKE 'har%'"
 ORACLES["window_explicit"] = (
@@ -592,7 +634,7 @@ _SPEND = """date, ad_account, country, spend, currency, campaign_id, campaign_na
     adgroup_id, adgroup_name"""
 ORACLES["schema_evolve_union"] = f"""SELECT date, ad_account, country, spend
     FROM ({as_sql(proxies.ASA_ADS)})
-    UNION ALL BY NAME SELECT {_SPEND} FROM ({as_sql(proxies.META_ADS)})"""
+    UNION ALL BY NAME SELECT {_SPEND} FROM ({as_sql([*proxies.META_ADS, *proxies.TIKTOK_ADS])})"""
 ORACLES["spend_required_split"] = (
     with_(ADS)
     + f"""SELECT {_SPEND}, line NOT IN (3, 5) AS accepted FROM (SELECT * REPLACE (

@@ -1,25 +1,29 @@
 """Report pages as JSON text, one small page per row, parsed back by the source.
 
 The pages carry what the services send: nested rows and daily entries, amounts
-that are missing or malformed, two spellings of a date key, error statuses.
+that are missing or malformed, two spellings of a date key, error statuses, entries of
+the wrong kind, and what was fetched twice.
 """
 
 from pyspark.sql import functions as F
 
-from tallyfold import fixed_values as fv
 from tallyfold.sources import payloads
 from tallyfold.workload import proxies
 from tallyfold.workload.proxies import as_frame
 
 
-def _pages(rows, body, schema, *ids):
-    text = rows.select(*ids, F.to_json(F.expr(body)).alias("body"))
-    return payloads.parse_pages(text, "body", schema, *ids)
+def _pages(rows, body, schema, *ids, lists=()):
+    """The pages, with two entries that are no objects at the head of each of their `lists`."""
+    text = F.to_json(F.expr(body))
+    for name in lists:
+        text = F.replace(text, F.lit(f'"{name}":['), F.lit(f'"{name}":["no object",7,'))
+    keep = [*ids, *(c for c in payloads.ORDER if c in rows.columns)]
+    return payloads.parse_pages(rows.select(*keep, text.alias("body")), "body", schema, *keep)
 
 
 def asa_reports(spark, folder):
     """Two days per row; the second day's amount is halved, missing or not a number."""
-    rows = as_frame(spark, folder, proxies.ASA_ADS)
+    rows = as_frame(spark, folder, proxies.ASA_WHOLE)
     body = """
         struct(struct(struct(array(struct(
             struct(adgroup_id AS adGroupId, adgroup_name AS adGroupName) AS metadata,
@@ -33,7 +37,7 @@ def asa_reports(spark, folder):
             ) AS granularity)) AS row) AS reportingDataResponse) AS data)
     """
     named = rows.withColumnRenamed("account_id", "org_id")
-    return _pages(named, body, payloads.ASA_REPORT, "org_id", "campaign_id")
+    return _pages(named, body, payloads.ASA_REPORT, "org_id", "campaign_id", lists=["row", "granularity"])
 
 
 def asa_campaigns(spark, folder):
@@ -44,7 +48,7 @@ def asa_campaigns(spark, folder):
                      struct(campaign_id AS id, cast(NULL AS string) AS name)) AS data)
     """
     rows = as_frame(spark, folder, proxies.CAMPAIGNS)
-    return _pages(rows, body, payloads.ASA_CAMPAIGNS, "org_id")
+    return _pages(rows, body, payloads.ASA_CAMPAIGNS, "org_id", lists=["data"])
 
 
 def asa_details(spark, folder):
@@ -58,7 +62,7 @@ def asa_details(spark, folder):
 
 def tiktok_reports(spark, folder):
     """Two rows per page: a full one, and one with the other date key and a blank amount."""
-    rows = as_frame(spark, folder, proxies.TIKTOK_ADS)
+    rows = as_frame(spark, folder, proxies.TIKTOK_WHOLE)
     # A null field is left out of the text, so each row has one date key.
     body = """
         struct(0 AS code, 'OK' AS message, struct(
@@ -75,7 +79,7 @@ def tiktok_reports(spark, folder):
     """
     account = proxies.item(proxies.TIKTOK_ACCOUNT, "cast(adgroup_id AS bigint) % 7", "|")
     named = rows.withColumn("advertiser_id", F.expr(account))
-    return _pages(named, body, payloads.TIKTOK_REPORT, "advertiser_id")
+    return _pages(named, body, payloads.TIKTOK_PAGE, "advertiser_id", lists=["list"])
 
 
 def tiktok_adgroups(spark, folder):
@@ -85,7 +89,7 @@ def tiktok_adgroups(spark, folder):
                       struct(page, 2 AS total_page) AS page_info) AS data)
     """
     rows = as_frame(spark, folder, proxies.ADGROUPS)
-    return _pages(rows, body, payloads.TIKTOK_ADGROUPS, "advertiser_id")
+    return _pages(rows, body, payloads.TIKTOK_PAGE, "advertiser_id", lists=["list"])
 
 
 def meta_insights(spark, folder):
@@ -100,27 +104,13 @@ def meta_insights(spark, folder):
                    country, cast(spend / 2 AS string) AS spend, adgroup_id AS adset_id,
                    cast(NULL AS string) AS adset_name, campaign_id, campaign_name)) AS data)
     """
-    rows = as_frame(spark, folder, proxies.META_ADS)
-    return _pages(rows, body, payloads.META_INSIGHTS, "account_id")
-
-
-META_ACCOUNTS = [
-    (
-        "nation",
-        "n_nationkey < 8",
-        {
-            "account_id": proxies.item(
-                "|".join(fv.ACCOUNTS["meta"].values()), "n_nationkey", "|"
-            ),
-            "currency": proxies.item("USD,EUR,GBP", "n_nationkey % 3"),
-        },
-    )
-]
+    rows = as_frame(spark, folder, proxies.META_WHOLE)
+    return _pages(rows, body, payloads.META_INSIGHTS, "account_id", lists=["data"])
 
 
 def meta_accounts(spark, folder):
     body = """
         struct('act_' || account_id AS id, account_id, 'account' AS name, currency)
     """
-    rows = as_frame(spark, folder, META_ACCOUNTS)
+    rows = as_frame(spark, folder, proxies.META_ACCOUNTS)
     return _pages(rows, body, payloads.META_ACCOUNT)

@@ -159,9 +159,10 @@ IOS_EVENTS = [_subscription(fv.PLATFORM_IOS, 0)]
 
 
 def _ads(number, account, account_id, campaign):
+    """The rows of one of three channels; with no number, all rows as that channel's."""
     return (
         "lineitem",
-        f"l_suppkey % 3 = {number}",
+        None if number is None else f"l_suppkey % 3 = {number}",
         {
             "date": "cast(l_shipdate as date)",
             "ad_account": account,
@@ -179,69 +180,78 @@ def _ads(number, account, account_id, campaign):
 
 
 _NAMED = _BRAND + " || " + item("_Ios,_And,", "l_partkey % 3")
-ASA_ADS = [
-    _ads(
-        0,
-        item("|".join(ASA_LABELS), "l_partkey % 2", "|"),
-        item(_ids("asa", ASA_LABELS), "l_partkey % 2", "|"),
-        f"""case l_partkey % 4 when 0 then 'har_' || {_BRAND} when 1 then 'HAR ' || l_returnflag
-            else {_BRAND} end""",
-    )
-]
-META_ADS = [
-    _ads(
-        1,
-        item("|".join(META_LABELS), LABEL_NUMBER, "|"),
-        item(_ids("meta", META_LABELS), LABEL_NUMBER, "|"),
-        _NAMED,
-    )
-]
-TIKTOK_ADS = [
-    _ads(
-        2,
-        item("|".join(TIKTOK_LABELS), LABEL_NUMBER, "|"),
-        item(_ids("tiktok", TIKTOK_LABELS), LABEL_NUMBER, "|"),
-        _NAMED,
-    )
-]
+_ASA = (
+    item("|".join(ASA_LABELS), "l_partkey % 2", "|"),
+    item(_ids("asa", ASA_LABELS), "l_partkey % 2", "|"),
+    f"""case l_partkey % 4 when 0 then 'har_' || {_BRAND} when 1 then 'HAR ' || l_returnflag
+        else {_BRAND} end""",
+)
+_META = (
+    item("|".join(META_LABELS), LABEL_NUMBER, "|"),
+    item(_ids("meta", META_LABELS), LABEL_NUMBER, "|"),
+    _NAMED,
+)
+_TIKTOK = (
+    item("|".join(TIKTOK_LABELS), LABEL_NUMBER, "|"),
+    item(_ids("tiktok", TIKTOK_LABELS), LABEL_NUMBER, "|"),
+    _NAMED,
+)
+ASA_ADS, META_ADS, TIKTOK_ADS = [_ads(0, *_ASA)], [_ads(1, *_META)], [_ads(2, *_TIKTOK)]
+# The whole table as one channel's, for the queries that look at one channel alone.
+ASA_WHOLE, META_WHOLE, TIKTOK_WHOLE = [_ads(None, *_ASA)], [_ads(None, *_META)], [_ads(None, *_TIKTOK)]
 ALL_ADS = [*ASA_ADS, *META_ADS, *TIKTOK_ADS]
 
-# Search campaigns and ad-group details, before they are wrapped into pages.
-CAMPAIGNS = [
-    (
+# Search campaigns and ad-group details, before they are wrapped into pages. Each is fetched
+# twice; what is missing in a fetch has a key there that is none.
+def _campaigns(fetch, missing, name):
+    return (
         "part",
-        "p_size % 4 <> 0",
+        None,
         {
+            "fetch_date": f"cast('{fetch}' as date)",
             "org_id": item(_ids("asa", ASA_LABELS), "p_partkey % 2", "|"),
-            "campaign_id": "cast(p_partkey as string)",
-            "campaign_name": "p_name",
+            "campaign_id": f"case when {missing} then 'x' else '' end || cast(p_partkey as string)",
+            "campaign_name": name,
         },
     )
+
+
+CAMPAIGNS = [
+    _campaigns("2025-01-01", "p_size % 4 = 0", "p_name"),
+    _campaigns("2025-01-02", "p_size % 3 = 0", "'a renamed ' || p_name"),
 ]
-CAMPAIGN_DETAILS = [
-    (
+
+
+def _details(fetch, missing, shift):
+    return (
         "part",
-        "p_size % 7 <> 0",
+        None,
         {
-            "campaign_id": "cast(p_partkey as string)",
-            "countries": "p_size % 3",
-            "first": item(CODES2, "p_partkey % 25"),
+            "fetch_date": f"cast('{fetch}' as date)",
+            "campaign_id": f"case when {missing} then 'x' else '' end || cast(p_partkey as string)",
+            "countries": f"(p_size + {shift}) % 3",
+            "first": item(CODES2, f"(p_partkey + {shift}) % 25"),
             "second": item(CODES2, "(p_partkey + 1) % 25"),
         },
     )
+
+
+CAMPAIGN_DETAILS = [
+    _details("2025-01-01", "p_size % 7 = 0", 0),
+    _details("2025-01-02", "p_size % 5 = 0", 2),
 ]
 TIKTOK_ACCOUNT = "|".join(fv.ACCOUNTS["tiktok"].values())
 
 
-def _adgroups(page, keep, name):
+def _adgroups(page, missing, name):
     return (
         "orders",
-        keep,
+        None,
         {
             "advertiser_id": item(TIKTOK_ACCOUNT, "o_orderkey % 7", "|"),
             "page": f"{page}",
             "code": "case when o_orderkey % 11 = 0 then 40001 else 0 end",
-            "adgroup_id": "cast(o_orderkey as string)",
+            "adgroup_id": f"case when {missing} then '' else cast(o_orderkey as string) end",
             "adgroup_name": name,
             "campaign_id": "case when o_orderkey % 6 <> 0 then cast(o_custkey as string) end",
             "campaign_name": "o_orderpriority",
@@ -250,8 +260,21 @@ def _adgroups(page, keep, name):
 
 
 ADGROUPS = [
-    _adgroups(1, "o_orderkey % 5 <> 0", "'z ' || o_orderpriority"),
-    _adgroups(2, "o_orderkey % 3 = 0", "'page 2 ' || o_orderstatus"),
+    _adgroups(1, "o_orderkey % 5 = 0", "'z ' || o_orderpriority"),
+    _adgroups(2, "o_orderkey % 3 <> 0", "'page 2 ' || o_orderstatus"),
+]
+_META_IDS = "|".join([*list(fv.ACCOUNTS["meta"].values())[:-1], "no such account"])
+# Several pages for each account, fetched on different days, with different currencies.
+META_ACCOUNTS = [
+    (
+        "nation",
+        None,
+        {
+            "fetch_date": "cast('2025-01-01' as date) + cast(n_nationkey as int)",
+            "account_id": item(_META_IDS, f"n_nationkey % {len(fv.ACCOUNTS['meta'])}", "|"),
+            "currency": item("USD,EUR,GBP", "n_nationkey % 3"),
+        },
+    )
 ]
 
 
@@ -325,9 +348,8 @@ def products(spark: SparkSession, folder) -> DataFrame:
         F.explode(F.array(*[F.expr(s) for s in _SKUS])).alias("sku"), "p_retailprice"
     )
     priced = skus.groupBy("sku").agg(F.expr(_CENTS).alias("cents"))
-    listed = priced.select(
-        "sku", "cents", F.explode(F.expr("sequence(0, 24)")).alias("nation")
-    ).select(
+    nations = table(spark, folder, "nation").agg(F.collect_set("n_nationkey")).scalar()
+    listed = priced.select("sku", "cents", F.explode(nations).alias("nation")).select(
         "*",
         F.explode(F.expr("if(nation % 5 = 0, array(0, 1), array(0))")).alias("second"),
     )

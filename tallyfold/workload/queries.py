@@ -258,7 +258,7 @@ def price_lookup_post(spark, folder):
 
 @query
 def adgroup_lookup(spark, folder):
-    rows = as_frame(spark, folder, proxies.TIKTOK_ADS).select("adgroup_id", "date", "spend")
+    rows = as_frame(spark, folder, proxies.TIKTOK_WHOLE).select("adgroup_id", "date", "spend")
     details = as_frame(spark, folder, proxies.ADGROUPS)
     blank = [F.coalesce(f, F.lit("")).alias(f) for f in ad_reports.ADGROUP_FIELDS]
     newest = lookups.newest_details(
@@ -435,7 +435,8 @@ def except_union(spark, folder):
 def schema_evolve_union(spark, folder):
     """A table of an older generation, without currency and names, plus new rows."""
     old = as_frame(spark, folder, proxies.ASA_ADS).select("date", "ad_account", "country", "spend")
-    new = as_frame(spark, folder, proxies.META_ADS).select(*spend_rows.SPEND_COLUMNS)
+    later = [*proxies.META_ADS, *proxies.TIKTOK_ADS]
+    new = as_frame(spark, folder, later).select(*spend_rows.SPEND_COLUMNS)
     return spend_rows.with_missing_columns(old, new)
 
 

@@ -85,3 +85,34 @@ def test_ingest_refuses_rows_without_a_date(spark, tmp_path):
     with pytest.raises(Exception, match="required value is missing"):
         ingest.load_channel(spark, "meta", str(tmp_path), "2025-07-01", "2025-07-02")
     spark.sql(f"DROP SCHEMA `{fv.SPEND_SCHEMA}` CASCADE")
+
+
+def test_only_the_windows_pages_are_opened(spark, tmp_path):
+    account = list(fv.ACCOUNTS["tiktok"].values())[0]
+    good = {"code": 0, "data": {"list": [{"dimensions": {"stat_time_day": "2025-07-02", "country_code": "FR", "adgroup_id": "1"}, "metrics": {"spend": "1"}}]}}
+    put(tmp_path, f"tiktok/reports/report_date=2025-07-01/advertiser_id={account}/p.json", {"code": 40001, "message": "limit"})
+    put(tmp_path, f"tiktok/reports/report_date=2025-07-02/advertiser_id={account}/p.json", good)
+    put(tmp_path, f"tiktok/adgroups/advertiser_id={account}/p.json", {"code": 0, "data": {"list": []}})
+    rows = ingest.channel_rows(spark, "tiktok", str(tmp_path), "2025-07-02", "2025-07-03")
+    assert rows.count() == 1
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.split("\n") if "PartitionFilters" in line and "report_date" in line]
+    assert filters and "2025-07-02" in filters[0]
+    with pytest.raises(Exception, match="limit"):
+        ingest.channel_rows(spark, "tiktok", str(tmp_path), "2025-07-01", "2025-07-02").collect()
+
+
+def test_all_channels_in_one_run(spark, tmp_path):
+    meta, tiktok, asa = (list(fv.ACCOUNTS[c].values())[0] for c in ("meta", "tiktok", "asa"))
+    put(tmp_path, f"meta/insights/account_id={meta}/p.json", {"data": [{"date_start": "2025-07-01", "country": "FR", "spend": "1"}]})
+    put(tmp_path, "meta/accounts/a.json", {"account_id": meta, "currency": "EUR"})
+    put(tmp_path, f"tiktok/reports/advertiser_id={tiktok}/p.json", {"code": 0, "data": {"list": []}})
+    put(tmp_path, f"tiktok/adgroups/advertiser_id={tiktok}/p.json", {"code": 0, "data": {"list": []}})
+    put(tmp_path, f"asa/reports/org_id={asa}/campaign_id=1/p.json", {"data": {}})
+    put(tmp_path, f"asa/campaigns/org_id={asa}/p.json", {"data": []})
+    put(tmp_path, "asa/details/1.json", {"data": {"id": 1}})
+    tables = ingest.load_channels(spark, str(tmp_path), start="2025-07-01", end="2025-07-01")
+    assert {c: spark.table(t).count() for c, t in tables.items()} == {"meta": 1, "tiktok": 0, "asa": 0}
+    with pytest.raises(ValueError):
+        ingest.load_channels(spark, str(tmp_path), ["radio"])
+    spark.sql(f"DROP SCHEMA `{fv.SPEND_SCHEMA}` CASCADE")

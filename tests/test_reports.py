@@ -103,8 +103,8 @@ def test_tiktok_reports_from_landed_files(spark, tmp_path):
         ("advertiser_id=1/p3.json", tiktok_page([detail("12", "failed")], code=5)),
     )
     flat = ad_reports.flatten_tiktok(
-        payloads.read_pages(spark, reports, payloads.TIKTOK_REPORT, "advertiser_id"),
-        payloads.read_pages(spark, adgroups, payloads.TIKTOK_ADGROUPS, "advertiser_id"),
+        payloads.read_pages(spark, reports, payloads.TIKTOK_PAGE, "advertiser_id"),
+        payloads.read_pages(spark, adgroups, payloads.TIKTOK_PAGE, "advertiser_id"),
     )
     got = {(r.account_id, r.adgroup_id): (str(r.date), r.spend, r.adgroup_name, r.campaign_id, r.campaign_name) for r in flat.collect()}
     assert got == {
@@ -122,11 +122,11 @@ def test_report_error_status_fails_the_job(spark, tmp_path):
         ("advertiser_id=1/b.json", tiktok_page([], code=40001, message="too many")),
         ("advertiser_id=1/c.json", {"message": "no code"}),
     )
-    pages = payloads.read_pages(spark, reports, payloads.TIKTOK_REPORT, "advertiser_id")
+    pages = payloads.read_pages(spark, reports, payloads.TIKTOK_PAGE, "advertiser_id")
     good, failed = payloads.split_errors(pages)
     assert (good.count(), failed.count()) == (1, 2)
     assert sorted(r.page_file.rsplit("/", 1)[1] for r in failed.collect()) == ["b.json", "c.json"]
-    adgroups = payloads.read_pages(spark, reports, payloads.TIKTOK_ADGROUPS, "advertiser_id")
+    adgroups = payloads.read_pages(spark, reports, payloads.TIKTOK_PAGE, "advertiser_id")
     with pytest.raises(Exception, match="report error"):
         ad_reports.flatten_tiktok(pages, adgroups).collect()
 
@@ -150,7 +150,7 @@ def test_meta_reports_from_landed_files(spark, tmp_path):
 
 def test_text_pages_parse_like_files(spark):
     texts = spark.createDataFrame([("1", json.dumps(tiktok_page([]))), ("2", "no json"), ("3", None)], "a string, b string")
-    got = payloads.parse_pages(texts, "b", payloads.TIKTOK_REPORT, "a")
+    got = payloads.parse_pages(texts, "b", payloads.TIKTOK_PAGE, "a")
     assert {r.a: r.code for r in got.collect()} == {"1": 0, "2": None, "3": None}
 
 
@@ -162,3 +162,67 @@ def test_account_sets(spark):
     assert select_accounts(dimension, new=True).count() == 0
     with pytest.raises(ValueError, match="choose from"):
         select_accounts(dimension, "radio")
+
+
+def test_bad_entries_cost_themselves_only(spark, tmp_path):
+    day = {"date": "2025-07-01", "localSpend": {"amount": "2", "currency": "USD"}}
+    row = {"metadata": {"adGroupId": 7, "adGroupName": "g"}, "granularity": ["odd", day, 5, None, {"date": "2025-07-02", "localSpend": "odd"}]}
+    report = {"data": {"reportingDataResponse": {"row": [5, row, "odd", None, [row]]}}}
+    reports = payloads.read_pages(
+        spark, put(tmp_path / "r", (f"org_id={ORG}/campaign_id=1/p.json", report)), payloads.ASA_REPORT, "org_id", "campaign_id"
+    )
+    campaigns = payloads.read_pages(
+        spark, put(tmp_path / "c", (f"org_id={ORG}/p.json", {"data": ["odd", {"id": 1, "name": "one"}, 3]})), payloads.ASA_CAMPAIGNS, "org_id"
+    )
+    details = payloads.read_pages(spark, put(tmp_path / "d", ("1.json", {"data": {"id": 1}})), payloads.ASA_CAMPAIGN_DETAIL)
+    flat = ad_reports.flatten_asa(reports, campaigns, details).collect()
+    assert {(str(r.date), r.spend, r.campaign_name) for r in flat} == {("2025-07-01", 2.0, "one"), ("2025-07-02", 0.0, "one")}
+    bad = ad_reports.rejected_entries("asa", reports).collect()
+    assert sorted((r.level, r.place) for r in bad) == [("day", 0), ("day", 2), ("day", 3), ("row", 0), ("row", 2), ("row", 3), ("row", 4)]
+
+    good = {"dimensions": {"stat_time_day": "2025-07-01", "adgroup_id": "9"}, "metrics": {"spend": "1"}}
+    listed = payloads.read_pages(
+        spark, put(tmp_path / "t", ("advertiser_id=1/p.json", {"code": 0, "data": {"list": ["odd", good]}})), payloads.TIKTOK_PAGE, "advertiser_id"
+    )
+    groups = payloads.read_pages(
+        spark, put(tmp_path / "g", ("advertiser_id=1/p.json", {"code": 0, "data": {"list": [1, {"adgroup_id": "9", "adgroup_name": "n"}]}})), payloads.TIKTOK_PAGE, "advertiser_id"
+    )
+    assert [(r.spend, r.adgroup_name) for r in ad_reports.flatten_tiktok(listed, groups).collect()] == [(1.0, "n")]
+    assert ad_reports.rejected_entries("tiktok", listed).count() == 1
+
+    insight = {"date_start": "2025-07-01", "country": "FR", "spend": "3"}
+    insights = payloads.read_pages(spark, put(tmp_path / "m", ("account_id=1/p.json", {"data": ["odd", insight]})), payloads.META_INSIGHTS, "account_id")
+    accounts_read = payloads.read_pages(spark, put(tmp_path / "a", ("a.json", {"account_id": "1", "currency": "EUR"})), payloads.META_ACCOUNT)
+    assert [(r.spend, r.currency) for r in ad_reports.flatten_meta(insights, accounts_read).collect()] == [(3.0, "EUR")]
+    assert ad_reports.rejected_entries("meta", insights).count() == 1
+
+
+def test_the_newest_fetch_wins(spark, tmp_path):
+    def campaign(name):
+        return {"data": [{"id": 9, "name": "last"}, {"id": 7, "name": name}]}
+
+    pages = put(
+        tmp_path / "c",
+        (f"fetch_date=2025-07-01/org_id={ORG}/b.json", campaign("Z old")),
+        (f"fetch_date=2025-07-02/org_id={ORG}/a.json", campaign("B newer")),
+        (f"fetch_date=2025-07-02/org_id={ORG}/b.json", {"data": [{"id": 7, "name": "A newest"}]}),
+    )
+    names = ad_reports.asa_campaign_names(payloads.read_pages(spark, pages, payloads.ASA_CAMPAIGNS, "org_id"))
+    assert {r.campaign_id: r.campaign_name for r in names.collect()} == {"7": "A newest", "9": "last"}
+    pages = put(
+        tmp_path / "d",
+        ("fetch_date=2025-07-01/7.json", {"data": {"id": 7, "countriesOrRegions": ["US"]}}),
+        ("fetch_date=2025-07-02/7.json", {"data": {"id": 7, "countriesOrRegions": ["CA"]}}),
+    )
+    countries = ad_reports.asa_campaign_countries(payloads.read_pages(spark, pages, payloads.ASA_CAMPAIGN_DETAIL))
+    assert [(r.campaign_id, r.country) for r in countries.collect()] == [("7", "CA")]
+    insights = put(tmp_path / "m", ("account_id=1/p.json", {"data": [{"date_start": "2025-07-01", "spend": "3"}]}))
+    pages = put(
+        tmp_path / "a",
+        ("fetch_date=2025-07-01/1.json", {"account_id": "1", "currency": "USD"}),
+        ("fetch_date=2025-07-02/1.json", {"account_id": "1", "currency": "EUR"}),
+    )
+    flat = ad_reports.flatten_meta(
+        payloads.read_pages(spark, insights, payloads.META_INSIGHTS, "account_id"), payloads.read_pages(spark, pages, payloads.META_ACCOUNT)
+    )
+    assert [r.currency for r in flat.collect()] == ["EUR"]

@@ -4,6 +4,7 @@ import pytest
 
 from conftest import SMALL, at
 from tallyfold import fixed_values as fv
+from tallyfold import rules as business
 from tallyfold.plans import ad_spend, customers, store_transactions
 from tallyfold.sources import tables
 from tallyfold.workload import queries
@@ -208,20 +209,18 @@ def test_results_do_not_depend_on_the_broadcast_bound(spark):
     """Past the bound the price joins shuffle, and every row stays the same."""
     catalogue = queries.products(spark, SMALL)
     plans = [
-        lambda n: store_transactions.ios_transactions(queries.ios(spark, SMALL), catalogue, n),
-        lambda n: store_transactions.play_transactions(queries.play(spark, SMALL), catalogue, n),
-        lambda n: customers.customer_rollup(queries.billing(spark, SMALL), catalogue, "any", n),
-        lambda n: customers.activation_rollup(
-            *queries.event_sources(spark, SMALL), catalogue, book_rows=n
-        ),
+        lambda: store_transactions.ios_transactions(queries.ios(spark, SMALL), catalogue),
+        lambda: store_transactions.play_transactions(queries.play(spark, SMALL), catalogue),
+        lambda: customers.customer_rollup(queries.billing(spark, SMALL), catalogue, "any"),
+        lambda: customers.activation_rollup(*queries.event_sources(spark, SMALL), catalogue),
     ]
     limit = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(limit)
     for plan in plans:
-        small = sorted(map(str, plan(None).collect()))
+        small = sorted(map(str, plan().collect()))
         spark.conf.set(limit, "-1")
         try:
-            assert sorted(map(str, plan(0).collect())) == small
+            assert sorted(map(str, plan().collect())) == small
         finally:
             spark.conf.set(limit, before)
 
@@ -244,3 +243,36 @@ def test_ad_spend_shape(rows):
     assert amounts == {
         fv.CHANNEL_ASA: (1.0, "iOS"), fv.CHANNEL_META: (None, "iOS"), fv.CHANNEL_TIKTOK: (11.6, "iOS"),
     }
+
+
+def test_spark_decides_what_is_broadcast(spark):
+    """A small price book is broadcast without a hint, one past Spark's limit is not."""
+    catalogue = queries.products(spark, SMALL)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+
+    def plan():
+        rows = store_transactions.play_transactions(queries.play(spark, SMALL), catalogue)
+        rows.collect()
+        return rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+    assert "BroadcastHashJoin" in plan()
+    spark.conf.set(limit, "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan()
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_rules_from_tables(spark, rows):
+    given = business.from_tables(
+        spark.createDataFrame([("b.one", "One")], business.APPS),
+        spark.createDataFrame([("meta", "Two", "T", 2), ("meta", "One", "O", 1), ("asa", "PRE", "P", 0), ("tiktok", "Tik", "K", 0)], business.LABELS),
+        spark.createDataFrame([("asa", None, 1.0), ("tiktok", None, 2.0), ("meta", "USD", 3.0)], business.RATES),
+    )
+    assert list(given.meta_labels) == ["One", "Two"] and given.apps == {"b.one": "One"}
+    meta = rows(tables.SPEND, {"ad_account": "One", "spend": 10.0, "currency": "USD", "campaign_name": "x"})
+    asa = rows(tables.SPEND, {"ad_account": "a", "spend": 10.0, "campaign_name": "pre x"})
+    tiktok = rows(tables.SPEND, {"ad_account": "my Tik", "spend": 10.0})
+    got = {(r.ad_account, r.spend_in_usd) for r in ad_spend.ad_spend(asa, meta, tiktok, given).collect()}
+    assert got == {("P", 10.0), ("O", 30.0), ("K", 20.0)}

@@ -124,3 +124,16 @@ def test_single_country(spark):
     frame = spark.createDataFrame([(["FR"],), (["FR", "DE"],), ([],), (None,)], "c array<string>")
     got = [r.c for r in frame.select(single_country("c").alias("c")).collect()]
     assert got == ["FR", "MULTI", "", ""]
+
+
+def test_all_listed_countries(spark):
+    listed = dict(pair.split() for pair in fv.ALPHA3.replace("\n", " ").split(","))
+    extra = dict(pair.split() for pair in fv.ALPHA3_EXTENDED.split(","))
+    assert (len(listed), len(extra)) == (202, 5)
+    frame = spark.createDataFrame([(c.lower(),) for c in [*listed, *extra, "XKX"]], "c string")
+    strict = countries.alpha2("c", strict=True)
+    got = frame.select(F.upper("c"), countries.alpha2("c"), countries.alpha2("c", extended=True), strict).collect()
+    for code, plain, extended, only_listed in got:
+        assert only_listed == listed.get(code)
+        assert plain == listed.get(code, code[:2].lower())
+        assert extended == {**listed, **extra}.get(code, code[:2].lower())

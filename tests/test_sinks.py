@@ -4,6 +4,7 @@ from glob import glob
 
 import pytest
 
+from tallyfold import fixed_values as fv
 from tallyfold.operators import spend_rows
 from tallyfold.sinks import tables as sinks
 from tallyfold.sources import tables
@@ -111,3 +112,23 @@ def test_source_from_the_catalog(spark, rows):
          "Adgroup_id string, Adgroup_name string, Currency string", {"Spend": 1.0}).write.saveAsTable(f"`{schema}`.MetaAds")
     assert tables.read_source(spark, "ads", "MetaAds").columns[0] == "date"
     spark.sql(f"DROP SCHEMA `{schema}` CASCADE")
+
+
+def test_append_to_a_table_in_other_letter_case(spark, rows, table):
+    names = "Date date, Ad_Account string, Country string, Spend double, Campaign_id string, Campaign_name string, Adgroup_id string, Adgroup_name string, Currency string"
+    spark.createDataFrame([], names).write.format("parquet").partitionBy("Date").saveAsTable(table)
+    day = {"date": dt.date(2025, 7, 1), "ad_account": "a", "country": "FR", "spend": 1.5, "currency": "EUR"}
+    sinks.append_spend(rows(tables.SPEND, day), table)
+    got = spark.table(table).collect()
+    assert [(r.Ad_Account, r.Spend, r.Currency, str(r.Date)) for r in got] == [("a", 1.5, "EUR", "2025-07-01")]
+
+
+def test_reads_in_any_letter_case_and_type(spark, tmp_path):
+    spaced = ["Q User ID", "event receive date", "EVENT NAME", "install date", "App Name", "Platform", "Country", "Currency", "Product  ID", "Price", "Proceeds", "Price Usd", "Proceeds Usd", "Refund"]
+    time = dt.datetime(2025, 7, 1)
+    row = (1, time, "Trial Started", time, "a", "iOS", "FR", "EUR", "p", 1.5, 1, "1", "1", 2.5)
+    path = str(tmp_path / "events")
+    spark.createDataFrame([row], spaced).write.parquet(path)
+    key = ("raw", fv.EVENT_TABLES[0])
+    got = tables.read_source(spark, *key, path).first()
+    assert (got.q_user_id, got.price, got.refund, got.product_id) == ("1", "1.5", "2.5", "p")

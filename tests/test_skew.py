@@ -202,7 +202,7 @@ def test_a_hot_product_is_split_over_tasks(spark, rows, splitting):
         tables.PRODUCTS,
         *[{"country": "FRA", "product_SKU": s, "customer_price_in_usd": 2.0} for s in ("hot", "u7")],
     ).repartition(8)
-    book = lookups.price_book(catalogue, rows=0)
+    book = lookups.price_book(catalogue)
     priced = lookups.attach_prices(facts, book, F.col("country"), "sku")
     assert "skew=true" in split_plan(priced)
     assert priced.filter("prices.customer_price_in_usd = 2").count() == facts.filter(
