@@ -116,7 +116,10 @@ class Model:
         return self.codes
 
     def phrases(self, blocks: np.ndarray, sizes: np.ndarray, table: np.ndarray) -> np.ndarray:
-        """Phrases of each block. Blocks are columns, the longest first, with `sizes` characters."""
+        """Phrases of each block. Blocks are columns, the longest first, with `sizes` characters.
+
+        A character that the labelled text lacks begins a phrase, which goes on after it.
+        """
         state = np.zeros(blocks.shape[1], np.int32)
         count = np.ones(blocks.shape[1], np.int64)
         active = len(sizes)
