@@ -603,10 +603,11 @@ _scalar(
     f"""ad_account, campaign_name, {ASA_APP} AS asa_app, {META_APP} AS meta_app,
     {TIKTOK_APP} AS tiktok_app""",
 )
-_scalar(
-    "price_by_platform", EVENTS, "events_all",
-    """q_user_id, platform, TRY_CAST(CASE platform WHEN 'iOS' THEN proceeds_usd ELSE price END
-    AS DOUBLE) AS price""",
+ORACLES["price_by_platform"] = (
+    with_(EVENTS, PRODUCTS, book("lower_book", lower_key("country")))
+    + """SELECT q_user_id, platform, CASE platform WHEN 'iOS' THEN customer_price_in_currency
+    ELSE TRY_CAST(price AS DOUBLE) END AS price FROM events_all LEFT JOIN lower_book
+    ON price_sku = product_id AND price_country = lower(trim(country))"""
 )
 _AD_ROW = "SELECT date, ad_account, campaign_id, campaign_name, adgroup_id, spend FROM ads WHERE "
 _LABELS = [*META_APP_BY_LABEL, *TIKTOK_APP_BY_LABEL]

@@ -375,9 +375,12 @@ def ad_account_map(spark, folder):
 
 @query
 def price_by_platform(spark, folder):
+    book = lookups.price_book(products(spark, folder))
+    rows = events(spark, folder)
+    priced = lookups.attach_prices(rows, book, countries.trimmed_lower("country"), "product_id")
+    listed = F.col("prices.customer_price_in_currency")
     charged = F.col("price").try_cast("double")
-    listed = F.col("proceeds_usd").try_cast("double")
-    return events(spark, folder).select(
+    return priced.select(
         "q_user_id", "platform", store.price_by_platform("platform", listed, charged).alias("price")
     )
 

@@ -94,7 +94,13 @@ def play_transactions(spark, folder):
     )
 
 
-def customer_rollup_any(spark, folder):
+def unified_transactions(spark, folder):
+    return store_transactions.unified_transactions(
+        ios_transactions(spark, folder), play_transactions(spark, folder)
+    )
+
+
+def _customers(spark, folder, product_id):
     rows = queries.billing(spark, folder)
     joined = _flagged(
         rows,
@@ -113,7 +119,7 @@ def customer_rollup_any(spark, folder):
         any_row(F.col("trial")).alias("has_started_trial"),
         any_row(F.col("lenient")).alias("has_converted_trial_lenient"),
         any_row(F.col("strict")).alias("has_converted_trial_strict"),
-        pick_any("product_identifier").alias("product_id"),
+        product_id.alias("product_id"),
         F.max("purchase_price_in_usd").alias("purchased_price_usd"),
         F.min("prices").alias("prices"),
     )
@@ -122,4 +128,21 @@ def customer_rollup_any(spark, folder):
     )
 
 
-YARDSTICK = {f.__name__: f for f in (ios_transactions, play_transactions, customer_rollup_any)}
+def customer_rollup_any(spark, folder):
+    return _customers(spark, folder, pick_any("product_identifier"))
+
+
+def customer_rollup_latest(spark, folder):
+    return _customers(spark, folder, latest("product_identifier", "start_time"))
+
+
+YARDSTICK = {
+    f.__name__: f
+    for f in (
+        ios_transactions,
+        play_transactions,
+        unified_transactions,
+        customer_rollup_any,
+        customer_rollup_latest,
+    )
+}
