@@ -27,6 +27,8 @@ FITTED_CHARS = 60_000
 LETTERS = 80
 #: A text is parsed in blocks of so many characters; no phrase crosses a border.
 BLOCK = 512
+#: Blocks that are parsed in step, so that a very long text needs no more memory than others.
+TOGETHER = 8192
 
 BLANK, OTHER = 1, 0
 
@@ -146,13 +148,15 @@ class Model:
         flat = np.concatenate(codes)
         starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
         order = np.argsort(-lengths, kind="stable")
-        at = starts[order][None, :] + np.arange(lengths.max())[:, None]
-        blocks = flat[np.minimum(at, len(flat) - 1)]
         cost = np.zeros((len(self.languages), len(texts)))
-        for k, (table, bits) in enumerate(zip(self.tables, self.bits, strict=True)):
-            needed = np.zeros(len(lengths))
-            needed[order] = self.phrases(blocks, lengths[order], table)
-            cost[k] = np.bincount(owner, needed, len(texts)) * bits / np.maximum(sizes, 1)
+        for g in range(0, len(order), TOGETHER):
+            some = order[g : g + TOGETHER]
+            at = starts[some][None, :] + np.arange(lengths[some[0]])[:, None]
+            blocks = flat[np.minimum(at, len(flat) - 1)]
+            for k, (table, bits) in enumerate(zip(self.tables, self.bits, strict=True)):
+                needed = self.phrases(blocks, lengths[some], table) * bits
+                cost[k] += np.bincount(owner[some], needed, len(texts))
+        cost /= np.maximum(sizes, 1)
         best = cost.argmin(axis=0)  # of equals the first by name
         least = cost[best, np.arange(len(texts))]
         rivals = np.sort(cost, axis=0)[1] if len(self.languages) > 1 else least * 2
