@@ -41,10 +41,16 @@ def unit(blobs: list[bytes], kind: str) -> np.ndarray:
 
 
 def _dealt(rows: DataFrame, keys: list[str], member: str, limit: int, seed: int) -> DataFrame:
-    """`part` in a group: groups over the limit are split at random into parts of about that size."""
-    sizes = rows.groupBy(*keys).count().where(F.col("count") > limit)
+    """`part` in a group: groups over the limit are split at random into `parts` of about that size.
+
+    The hash beside the keys gives both sides of the join a plain shuffle, so that the rows of
+    a large group are spread over tasks.
+    """
+    mark = F.xxhash64(*keys).alias("mark")
+    sizes = rows.groupBy(*keys).count().where(F.col("count") > limit).select("*", mark)
     parts = F.greatest(F.lit(1), F.ceil(F.coalesce("count", F.lit(1)) / limit))
-    return rows.join(sizes, keys, "left").withColumn("part", F.pmod(F.xxhash64(member, F.lit(seed)), parts)).drop("count")
+    joined = rows.select("*", mark).join(sizes, [*keys, "mark"], "left").withColumn("parts", parts)
+    return joined.withColumn("part", F.pmod(F.xxhash64(member, F.lit(seed)), "parts")).drop("count", "mark")
 
 
 def _usable():
@@ -171,9 +177,7 @@ def _enlarged(vectors: Vectors, members: DataFrame, threshold: float) -> DataFra
     A class is dealt into blocks, and each pair of blocks is one task's work.
     """
     rows = _dealt(members, ["root"], "id", 2 * MEETING, 7).withColumnRenamed("part", "own")
-    blocks = rows.select("root", "own").distinct()
-    others = blocks.groupBy("root").agg((F.max("own") + 1).alias("blocks"))
-    spread = rows.join(others, "root").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    spread = rows.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     # A row goes to its block's pairs as the first side, and as the second side to those of all others.
     as_first = spread.select("id", "root", F.col("own").alias("a"), F.col("other").alias("b"), F.lit(True).alias("first"), (F.col("own") == F.col("other")).alias("second"))
     as_second = spread.where("own != other").select("id", "root", F.col("other").alias("a"), F.col("own").alias("b"), F.lit(False).alias("first"), F.lit(True).alias("second"))
