@@ -2,8 +2,8 @@
 
 Method: hierarchical residual packing. Documents become pieces; full pieces are sequences
 by themselves. The others are packed best-fit, in groups that fit a task; bins that are
-full, or nearly, are emitted. The underfull bins go on as items of the next round, in fewer
-groups, until one group holds all of them or a round gains little.
+full, or nearly, or have no room for any other, are emitted. The underfull bins go on as items
+of the next round, in at most half as many groups, until one group holds all of them.
 """
 
 import json
@@ -170,19 +170,22 @@ def pack(cut_pieces: DataFrame, capacity: int = 1024, group_items: int = GROUP_I
     whole = cut_pieces.where(F.col("length") == capacity)
     rest = cut_pieces.where(F.col("length") < capacity)
     items = rest.mapInArrow(_as_items, "size long, members binary")
-    before, left = rest.count(), 1.0
+    before, groups = rest.count(), None
     emitted = []
     while before:
-        groups = -(-before // group_items)
+        # At most half as many groups as before, so also bins that a round hardly fills meet others.
+        groups = min(-(-before // group_items), groups // 2 if groups else before)
         dealt = items.withColumn("part", F.pmod(F.xxhash64("members", F.lit(len(emitted))), F.lit(groups)))
         bins = cut(dealt.groupBy("part").applyInArrow(_packer(capacity), "size long, members binary"))
-        last = groups == 1 or left > 0.9
-        emitted.append(bins if last else bins.where(F.col("size") >= capacity - nearly_full))
-        if last:
+        if groups == 1:
+            emitted.append(bins)
             break
-        items = bins.where(F.col("size") < capacity - nearly_full)
-        after = items.count()
-        left, before = after / before, after
+        underfull = F.col("size") < capacity - nearly_full
+        smallest = bins.where(underfull).agg(F.min("size")).first()[0] or 0
+        goes_on = underfull & (F.col("size") <= capacity - smallest)  # others have no room for any bin
+        emitted.append(bins.where(~goes_on))
+        items = bins.where(goes_on)
+        before = items.count()
     number = F.monotonically_increasing_id()  # over rows that were cut off: the same if a task is repeated
     done = whole.withColumn("sequence_id", 2 * number).withColumn("offset", F.lit(0).cast("long"))
     if emitted:

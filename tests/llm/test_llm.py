@@ -271,6 +271,20 @@ def test_packing(odd, docs, nothing):
     assert packing.pack(packing.pieces(nothing, vocabulary(BYTE_BPE))).count() == 0
 
 
+def test_underfull_bins_of_different_groups_meet(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(packing, "cut", lambda frame, own=packing.cut: rounds.append(1) or own(frame))
+    # Two pieces fill a sequence; a group with an odd number of them leaves one over.
+    own = spark.createDataFrame([(k, 0, 0, 500, k) for k in range(1001)], packing.PIECES)
+    got = packing.pack(own, group_items=20).collect()
+    assert sorted(r.doc_id for r in got) == list(range(1001))
+    assert len({r.sequence_id for r in got}) == 501 and len(rounds) > 2
+    # No bin joins another within its group, nor do large ones ever; small ones are few.
+    mixed = [(k, 0, 0, 1000 if k < 900 else 10 + k % 3, k) for k in range(1000)]
+    got = packing.pack(spark.createDataFrame(mixed, packing.PIECES), group_items=20).collect()
+    assert len(got) == 1000 and len({r.sequence_id for r in got}) == 900
+
+
 def test_best_fit_takes_the_fullest_bin():
     assert packing.best_fit([7, 6, 3, 4], 10) == [[0, 2], [1, 3]]
     assert packing.best_fit([], 10) == []
