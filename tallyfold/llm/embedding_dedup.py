@@ -5,11 +5,15 @@ vector a first list of neighbours. In each round of descent a vector meets, at e
 neighbours, the neighbours' neighbours, and keeps those that are closer than its list's
 last. A list whose entries all reach the threshold is saturated: there may be more. Its
 vector's list is enlarged to its whole class, the vectors that threshold edges connect,
-compared block by block. Recall is audited against brute force for a bounded number of
-vectors; below the asked recall, further trees and rounds follow. Threshold edges remain.
+compared block by block. Saturated vectors then look for neighbours outside their class, and
+classes that meet are joined, until none do. Recall is audited against brute force for a
+bounded number of vectors; below the asked recall, further trees and rounds with lists of
+twice the length follow. What stays below it is warned of. Threshold edges remain.
 """
 
+import copy
 import math
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +67,9 @@ def _usable():
 class Vectors:
     """The distinct usable vectors: (id, label, vec, copies), `vec` as bytes."""
 
+    #: Columns by which some vectors are kept apart.
+    roots: tuple[str, ...] = ()
+
     def __init__(self, table: DataFrame):
         item = table.schema["embedding"].dataType.elementType
         self.kind = "<f4" if isinstance(item, T.FloatType) else "<f8"
@@ -104,19 +111,24 @@ def _leaves(vectors: Vectors, bits: int, trees: list[int]) -> DataFrame:
 
 
 def _meet(kind: str, count: int):
-    """For the vectors that meet: each one's best `count` others, if closer than its own `bar`."""
+    """For the vectors that meet: each one's best `count` others, if closer than its own `bar`.
+
+    Where they have a `root`, only vectors of another root count.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         ids = table["id"].to_numpy()
         rows = unit(table["vec"].to_pylist(), kind)
         bars = table["bar"].to_numpy()
+        # Without roots each vector only leaves out itself.
+        own = table["root" if "root" in table.column_names else "id"].to_numpy()
         us, vs, sims = [], [], []
         for at in range(0, len(ids), 1024):
             sim = rows[at : at + 1024] @ rows.T
-            sim[ids[at : at + 1024, None] == ids[None, :]] = -2
+            sim[own[at : at + 1024, None] == own[None, :]] = -2
             best = np.argsort(-sim, axis=1, kind="stable")[:, :count]
             close = np.take_along_axis(sim, best, 1)
-            x, y = np.nonzero(close > bars[at : at + 1024, None])
+            x, y = np.nonzero((close > -2) & (close > bars[at : at + 1024, None]))
             us.append(ids[at + x])
             vs.append(ids[best[x, y]])
             sims.append(close[x, y])
@@ -138,19 +150,20 @@ def first_lists(vectors: Vectors, trees: list[int], count: int, leaf: int = LEAF
     largest = vectors.distinct.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits = min(40, max(0, math.ceil(math.log2(max(1, largest / (leaf / 2))))))
     places = _dealt(cut(_leaves(vectors, bits, trees)), ["tree", "label", "code"], "id", leaf, 1)
-    vecs = vectors.distinct.select("id", "vec", F.lit(-1.5).alias("bar"))
+    vecs = vectors.distinct.select("id", "vec", F.lit(-1.5).alias("bar"), *vectors.roots)
     met = places.join(vecs, "id").groupBy("tree", "label", "code", "part").applyInArrow(_meet(vectors.kind, count // 2), LIST)
     return cut(_best(met, count))
 
 
-def descend(vectors: Vectors, lists: DataFrame, count: int, seed: int) -> DataFrame:
-    """One round: vectors meet at their neighbours, and lists take what is closer."""
-    ends = lists.select(F.col("v").alias("pivot"), F.col("u").alias("id"))
-    back = lists.select(F.col("u").alias("pivot"), F.col("v").alias("id"))
+def descend(vectors: Vectors, lists: DataFrame, count: int, seed: int, also: DataFrame | None = None) -> DataFrame:
+    """One round: vectors meet at their neighbours, and at those of `also`, and lists take what is closer."""
+    places = lists if also is None else lists.unionAll(also)
+    ends = places.select(F.col("v").alias("pivot"), F.col("u").alias("id"))
+    back = places.select(F.col("u").alias("pivot"), F.col("v").alias("id"))
     own = vectors.distinct.select(F.col("id").alias("pivot"), "id")
     meetings = _dealt(cut(ends.unionAll(back).unionAll(own).distinct()), ["pivot"], "id", MEETING, seed)
     bars = lists.groupBy(F.col("u").alias("id")).agg(F.when(F.count("*") >= count, F.min("sim")).alias("bar"))
-    vecs = vectors.distinct.join(bars, "id", "left").select("id", "vec", F.coalesce("bar", F.lit(-1.5)).alias("bar"))
+    vecs = vectors.distinct.join(bars, "id", "left").select("id", "vec", F.coalesce("bar", F.lit(-1.5)).alias("bar"), *vectors.roots)
     met = meetings.join(vecs, "id").groupBy("pivot", "part").applyInArrow(_meet(vectors.kind, count // 2), LIST)
     return cut(_best(lists.unionAll(met), count))
 
@@ -186,11 +199,32 @@ def _enlarged(vectors: Vectors, members: DataFrame, threshold: float) -> DataFra
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def _links(vectors: Vectors, lists: DataFrame, count: int, threshold: float) -> DataFrame:
+def _bridges(vectors: Vectors, lists: DataFrame, classes: DataFrame, saturated: DataFrame, trees: list[int], count: int, threshold: float) -> DataFrame:
+    """Threshold edges between the classes of saturated vectors: their lists had no place for them.
+
+    An edge that has an end with room in its list is in that list.
+    """
+    apart = copy.copy(vectors)
+    full = classes.join(saturated.select(F.col("u").alias("node")), "node", "left_semi").select(F.col("node").alias("id"), "root")
+    apart.distinct, apart.roots = cut(vectors.distinct.join(full, "id")), ("root",)
+    several = apart.distinct.groupBy("label").agg((F.min("root") < F.max("root")).alias("several")).where("several")
+    if several.isEmpty():
+        return lists.limit(0)
+    apart.distinct = cut(apart.distinct.join(several.select("label"), "label", "left_semi"))
+    outside = first_lists(apart, trees, count)
+    for k in range(ROUNDS):
+        outside = descend(apart, outside, count, 100 + k, lists)
+    return cut(outside.where(F.col("sim") >= threshold))
+
+
+def _links(vectors: Vectors, lists: DataFrame, trees: list[int], count: int, threshold: float) -> DataFrame:
     """(id, root, n): class and links to copies of other vectors, of each vector with a link."""
     near = cut(lists.where(F.col("sim") >= threshold))
+    saturated = cut(near.groupBy("u").count().where(F.col("count") >= count))
     classes = components(near.select("u", "v"))
-    saturated = near.groupBy("u").count().where(F.col("count") >= count)
+    while not (bridges := _bridges(vectors, lists, classes, saturated, trees, count, threshold)).isEmpty():
+        near = cut(near.unionAll(bridges))
+        classes = components(near.select("u", "v"))
     roots = classes.join(saturated.select(F.col("u").alias("node")), "node", "left_semi").select("root").distinct()
     large = classes.join(roots, "root", "left_semi").select(F.col("node").alias("id"), "root")
     both = near.select("u", "v").unionAll(near.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
@@ -242,10 +276,14 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.98, neighbours:
     for attempt in range(ATTEMPTS + 1):
         for k in range(ROUNDS):
             lists = descend(vectors, lists, neighbours, 10 * attempt + k)
-        links = _links(vectors, lists, neighbours, threshold)
-        if attempt == ATTEMPTS or audit(vectors, links, threshold) >= RECALL:
+        links = _links(vectors, lists, trees, neighbours, threshold)
+        recall = audit(vectors, links, threshold)
+        if recall >= RECALL:
+            break
+        if attempt == ATTEMPTS:
+            warnings.warn(f"{recall:.3f} of the audited links were found, less than {RECALL}", RuntimeWarning, stacklevel=2)
             break
-        trees = [t + TREES for t in trees]
+        trees, neighbours = [t + TREES for t in trees], 2 * neighbours
         lists = cut(_best(lists.unionAll(first_lists(vectors, trees, neighbours)), neighbours))
     named = vectors.distinct.join(links, "id", "left").select(
         "label", "vec", F.coalesce("root", "id").alias("component_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")

@@ -421,6 +421,33 @@ def test_embeddings(spark):
     assert embedding_dedup.near_duplicates(table.where("vec_id < 0")).count() == 0
 
 
+def test_tight_groups_meet(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = []
+    # About 0.997 inside a group and 0.985 across: every list is full of inner neighbours.
+    for pair in range(6):
+        centre, apart = rng.standard_normal((2, 32))
+        centre /= np.linalg.norm(centre)
+        apart -= apart @ centre * centre
+        apart *= 0.055 / np.linalg.norm(apart)
+        for side in (-1, 1):
+            for _ in range(40):
+                rows.append((len(rows), [float(x) for x in centre + side * apart + 0.007 * rng.standard_normal(32)], 1))
+    matrix = np.array([r[1] for r in rows])
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    near = matrix @ matrix.T >= 0.98
+    first = np.arange(len(rows)) // 80 * 80
+    assert near[:40, 40:80].mean() > 0.9 and not near[:80, 80:].any()
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(table).collect()}
+    assert [got[k].component_id for k in range(len(rows))] == first.tolist()
+    assert [got[k].n_links for k in range(len(rows))] == (near.sum(axis=1) - 1).tolist()
+    monkeypatch.setattr(embedding_dedup, "audit", lambda *_: 0.5)
+    monkeypatch.setattr(embedding_dedup, "ATTEMPTS", 0)
+    with pytest.warns(RuntimeWarning, match="0.500"):
+        embedding_dedup.near_duplicates(table.where("vec_id < 80"))
+
+
 # 9: substrings
 
 
