@@ -32,15 +32,25 @@ CACHED_TOKENS = 300_000
 #: What characters may stand for besides themselves; a choice of this method.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 FILLERS = "*._-'~#%&"
-#: Log probabilities of the channel: a character as it is, a stand-in, a filler, a repeated letter, a space.
-PLAIN, STAND_IN, FILLER, REPEATED, SPACE = 0.0, -1.0, -0.5, -0.5, -0.5
-LONGEST = 40
+#: Log probabilities of the channel: a character as it is, a stand-in, a filler, a repeated letter, a doubled one, a space.
+PLAIN, STAND_IN, FILLER, REPEATED, DOUBLED, SPACE = 0.0, -1.0, -0.5, -0.5, -6.0, -0.5
 EDGES = ".,;:!?()[]{}\"'|"
 
-SPACED = re.compile(r"(?<!\S)[^\W_](?:[ ._*-][^\W_]){3,}(?!\S)")
-TRIPLE = re.compile(r"(.)\1\1").search
-RUNS = re.compile(r"(.)\1*")
+#: Letters set apart, or symbols that stand for them; white space or punctuation borders the run.
+SPACED = re.compile(r"(?<![^\s.,;:!?()\[\]{}\"'|])(?:[^\W_]|[@$!|+€])(?:[ ._*-](?:[^\W_]|[@$!|+€])){2,}(?![^\s.,;:!?()\[\]{}\"'|])")
+BETWEEN = re.compile(r"[ ._*-]")
+DOUBLE = re.compile(r"(.)\1").search
+RUNS = re.compile(r"(.)\1*", re.DOTALL)
 DISGUISED = re.compile(r"[^\W\d_]").search
+#: Without a letter, a token of stand-ins is a disguised word unless it reads as a number or price.
+SYMBOLS = re.compile(r"[@$!|+€]").search
+NUMBER = re.compile(r"[+$€]?[\d.,:/%-]*[$€+%]?").fullmatch
+
+
+def readable(token: str) -> bool:
+    """Whether a token may be a word: it has a letter, or symbols that stand for letters."""
+    return bool(DISGUISED(token) or SYMBOLS(token) and not NUMBER(token))
+
 
 #: Letters of the character model; all others share one code. Blank is the border of a word.
 ALPHABET = " abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýßœ"
@@ -99,7 +109,7 @@ class Channel:
         for run in RUNS.finditer(token):
             c, n = run[1], len(run[0])
             if c.isalpha():
-                kinds = [(c * n, PLAIN)] if n < 3 else [(c, REPEATED), (c * 2, REPEATED)]
+                kinds = [(c, PLAIN)] if n == 1 else [(c * 2, PLAIN), (c, DOUBLED)] if n == 2 else [(c, REPEATED), (c * 2, REPEATED)]
             elif c in LEET:
                 kinds = [(s * k, STAND_IN * n) for s in LEET[c] for k in {1, min(n, 2)}]
                 if c in "!|+$":
@@ -113,9 +123,12 @@ class Channel:
 
     def decode(self, token: str, spaced: bool = False) -> str:
         """The likeliest reading of a token; `spaced`: of letters set apart, in which words may end anywhere."""
-        paths = {(0, 0): (0.0, "")}
+        paths: dict = {(0, 0): (0.0, None)}  # the reading as a chain of its parts, the last first
         log, code, other = self.log, self.code, SIZE - 1
-        for kinds in [*self.options(token), [(" ", PLAIN)]]:
+        options = self.options(token)
+        if spaced:  # a symbol set apart is a letter; only the last may be punctuation
+            options[:-1] = [[k for k in kinds if k[0]] for kinds in options[:-1]]
+        for kinds in [*options, [(" ", PLAIN)]]:
             new: dict = {}
             if spaced:
                 kinds = kinds + [(" " + text, cost + SPACE) for text, cost in kinds if text.strip()]
@@ -128,23 +141,28 @@ class Channel:
                         x, y = y, z
                     known = new.get((x, y))
                     if known is None or total > known[0]:
-                        new[x, y] = total, done + text
+                        new[x, y] = total, (done, text)
             paths = new
-        return max(paths.values())[1].strip()
+        chain, parts = max(paths.values(), key=lambda p: p[0])[1], []
+        while chain:
+            chain, text = chain
+            parts.append(text)
+        return "".join(reversed(parts)).strip()
 
     def restore(self, token: str) -> str:
         """The restoration of a token without white space, in lower case."""
         plain = token.strip(EDGES).lower()
-        if plain.isalpha() and not TRIPLE(plain):
+        if plain.isalpha() and not DOUBLE(plain):
             return plain
         token = token.lower()
-        if len(token) > LONGEST or not DISGUISED(token):
+        if not readable(plain):
             return plain
         return self.decode(plain if plain and not any(c in LEET for c in token[len(token.rstrip(EDGES)) :]) else token)
 
     def parts(self, text: str) -> tuple[list[str], list[str]]:
         """(tokens, restored runs of spaced letters) of a text."""
-        runs = [self.decode(re.sub(r"[ ._*-]", "", m.lower()), spaced=True) for m in SPACED.findall(text) if len(set(m.lower())) > 3]
+        letters = [BETWEEN.sub("", m.lower()) for m in SPACED.findall(text)]
+        runs = [self.decode(m, spaced=True) for m in letters if readable(m)]
         return text.split(), runs
 
     def restore_text(self, text: str) -> str:

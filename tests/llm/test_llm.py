@@ -509,6 +509,22 @@ def test_restoration(docs):
     assert channel.restore_text("") == ""
 
 
+def test_all_disguises_reach_the_lattice(docs):
+    channel = toxicity.Channel(toxicity.character_counts(docs))
+    joined = lambda text: channel.restore_text(text).replace(" ", "")
+    for text in ("you i d i o t.", "(i d i o t) he said", "what an i d 1 o t!", "i d ! o t, go"):
+        assert "idiot" in joined(text), text
+    assert "scum" in joined("s c u m.") and "scum" in joined("(s c u m") and "scum" in joined("$ c u m")
+    assert "poop" in joined("p o o p") and len(channel.parts("a s s.")[1]) == 1
+    assert channel.restore("stu" + "u" * 60 + "pid.") == "stupid" and channel.restore("s" + "*" * 50 + "tupid") == "stupid"
+    assert channel.restore("stuupid") == "stupid" and channel.restore("loser") == "loser"
+    assert set(channel.restore("@$$!")) <= set("asi ") and "a" in channel.restore("@$$")
+    for number in ("$455", "455", "+49", "50€", "1,000.50"):
+        assert channel.restore(number) == number.strip(toxicity.EDGES), number
+    assert channel.parts("1 2 3 4 5")[1] == []
+    assert len(channel.restore("ab1" * 40_000)) > 40_000  # no length is left out
+
+
 def test_character_counts_cover_all(docs):
     counts = toxicity.character_counts(docs)
     text = " ".join(["", *(r.text.lower() for r in docs.collect() if r.text), ""])
