@@ -40,15 +40,19 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) of every document, the fingerprint as a signed long; 0 for a null text."""
+    """(doc_id, fp) of every document, the fingerprint as a signed long; 0 for a null text.
+
+    A column `text_key` is handed on.
+    """
+    more = [c for c in ("text_key",) if c in docs.columns]
 
     def run(batches):
         for batch in batches:
             texts = batch.column(1).cast("binary")
             prints = [fingerprint(t.as_py() or b"", shingle, seed) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast("int64"), pa.array(np.array(prints, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast("int64"), pa.array(np.array(prints, np.uint64).view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *more])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text", *more).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *more)))
 
 
 def _segments(distance: int, bits: int = 64) -> list[int]:
@@ -97,29 +101,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, seed: int = 42, distance:
     other; a null doc_id is never the smallest, unless the component has no other; repeated
     rows come back repeated. An empty table gives an empty result.
     """
+    return _grouped(docs, shingle, seed, distance).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, shingle: int, seed: int, distance: int) -> DataFrame:
+    """The fingerprints of the documents, with `root`, the least fingerprint of the component, and component_id."""
     prints = cut(fingerprints(docs, shingle, seed))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct.select("fp"), distance))
     grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     first = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = cut(grouped.join(first, "root").select("fp", "component_id"))
+    named = cut(grouped.join(first, "root").select("fp", "root", "component_id"))
     # The hash beside the key gives both sides a plain shuffle, so a hot fingerprint is split.
     mark = F.xxhash64("fp").alias("mark")
-    return prints.select("*", mark).join(named.select("*", mark), ["fp", "mark"], "left").select("doc_id", "fp", "component_id")
+    return prints.select("*", mark).join(named.select("*", mark), ["fp", "mark"], "left").drop("mark")
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = 4, seed: int = 42, distance: int = 4) -> DataFrame:
     """The documents with all their columns, one of each near-duplicate group: the least doc_id.
 
-    Of repeated rows of that document one stays. Documents without an id stay where their
-    group has no document with an id, one for each group's null.
+    Documents without an id come after those with one, so one of them stays where a group has
+    no other. Of equal ids the least hash of the text decides, and of repeated rows one stays.
     """
-    found = near_duplicates(docs, shingle, seed, distance)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = cut(first.groupBy(F.col("doc_id").alias("first_id")).agg((F.count("*") > 1).alias("repeated")))
-    same = F.col("doc_id").eqNullSafe(F.col("first_id"))
-    once = docs.join(ids.where("NOT repeated"), same, "left_semi")
-    repeated = ids.where("repeated")
+    key = F.xxhash64("text")
+    found = _grouped(docs.select("doc_id", "text", key.alias("text_key")), shingle, seed, distance)
+    rows = found.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "n")
+    first = cut(rows.groupBy("root").agg(F.min(order).alias("row")).select(F.col("row.doc_id").alias("first_id"), F.col("row.text_key").alias("first_key"), (F.col("row.n") > 1).alias("repeated")))
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (key == F.col("first_key"))
+    once = docs.join(first.where("NOT repeated"), same, "left_semi")
+    repeated = first.where("repeated")
     if repeated.isEmpty():
         return once
-    return once.unionAll(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
+    copies = docs.join(repeated, same, "left_semi").withColumn("_text_key", key)
+    return once.unionAll(copies.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key"))
