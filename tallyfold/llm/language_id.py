@@ -5,8 +5,8 @@ against it into phrases: each is the longest match that occurs in the labelled t
 next begins at the character that ended it. Text that is like the labelled text needs few
 phrases. The language that needs the fewest, as bits for each character, wins.
 
-The automata are tables of states by characters, of a size that does not depend on the data,
-and all blocks of a batch are parsed in step, a character at a time, over whole columns.
+The automata are tables of states by the letters of their own language, or sorted transitions
+where that has very many letters. Their size does not depend on the number of documents, and all blocks of a batch are parsed in step, a character at a time, over whole columns.
 """
 
 import math
@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.common import held_out
 
-#: Labelled documents of each language that the automata are fitted on, the longest of them,
-#: and the characters of the text that is put together from them.
+#: Labelled documents of each language that the automata are fitted on, the characters of each
+#: from its first letter on, and those of the text that is put together from them.
 FITTED_DOCS = 200
 FITTED_DOC_CHARS = 4000
 FITTED_CHARS = 60_000
-#: Letters with a column of their own; rarer ones share one that matches nothing.
-LETTERS = 80
+#: Entries of a table; an automaton that needs more is kept as sorted transitions.
+TABLE_ENTRIES = 1 << 24
 #: A text is parsed in blocks of so many characters; no phrase crosses a border.
 BLOCK = 512
 #: Blocks that are parsed in step, so that a very long text needs no more memory than others.
@@ -68,37 +68,49 @@ def letters_only(text: str) -> str:
     return "".join(c if c.isalpha() else " " for c in text.lower())
 
 
-class Model:
-    """Languages, the codes of their letters, and a table of transitions for each language.
+class Automaton:
+    """Transitions of a labelled text; a state is the place of its row, of `width` entries.
 
-    A table has a row of `width` entries for each state; an entry is the place of the next
-    state's row, or -1 where no match goes on.
+    `own` maps the codes of all languages to the columns of this one. Its letters have one
+    each; whatever else there is shares column OTHER, which matches nothing.
     """
 
-    def __init__(self, labelled: dict[str, str]):
-        self.languages = sorted(labelled)
-        texts = {k: " ".join(letters_only(labelled[k]).split()) for k in self.languages}
-        counts: dict[str, int] = {}
-        for text in texts.values():
-            for c in text:
-                counts[c] = counts.get(c, 0) + 1
-        counts.pop(" ", None)
-        letters = sorted(sorted(counts), key=lambda c: -counts[c])[:LETTERS]
+    def __init__(self, text: str, code: dict[str, int]):
+        letters = sorted(set(text) - {" "})
+        column = {c: k + 2 for k, c in enumerate(letters)} | {" ": BLANK}
         self.width = len(letters) + 2
-        self.codes = np.full(0x110000, BLANK, np.uint8)
-        self.alphabet = letters
-        self.tables, self.bits = [], []
-        code = {c: k + 2 for k, c in enumerate(letters)} | {" ": BLANK}
-        for language in self.languages:
-            text = texts[language]
-            edges = suffix_automaton(code.get(c, OTHER) for c in text)
-            table = np.full((len(edges), self.width), -1, np.int32)
+        self.own = np.zeros(len(code) + 2, np.int32)
+        for c, k in column.items():
+            self.own[code[c]] = k
+        edges = suffix_automaton(column[c] for c in text)
+        if len(edges) * self.width <= TABLE_ENTRIES:
+            self.keys, self.table = None, np.full(len(edges) * self.width, -1, np.int32)
             for state, out in enumerate(edges):
                 for symbol, target in out.items():
-                    if symbol != OTHER:
-                        table[state, symbol] = target * self.width
-            self.tables.append(table.ravel())
-            self.bits.append(math.log2(max(2, len(text))))
+                    self.table[state * self.width + symbol] = target * self.width
+        else:
+            pairs = sorted((state * self.width + symbol, target * self.width) for state, out in enumerate(edges) for symbol, target in out.items())
+            self.keys, self.table = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+
+    def step(self, places: np.ndarray) -> np.ndarray:
+        """The next states at places of the table, -1 where no match goes on."""
+        if self.keys is None:
+            return self.table[places]
+        at = np.minimum(np.searchsorted(self.keys, places), len(self.keys) - 1)
+        return np.where(self.keys[at] == places, self.table[at], -1)
+
+
+class Model:
+    """Languages, the codes of all their letters, and an automaton for each language."""
+
+    def __init__(self, labelled: dict[str, str]):
+        self.languages = sorted(labelled)
+        texts = {k: " ".join(letters_only(labelled[k]).split()) for k in self.languages}
+        self.codes = np.full(0x110000, BLANK, np.int32)
+        self.alphabet = sorted({c for text in texts.values() for c in text} - {" "})
+        code = {c: k + 2 for k, c in enumerate(self.alphabet)} | {" ": BLANK}
+        self.tables = [Automaton(texts[k], code) for k in self.languages]
+        self.bits = [math.log2(max(2, len(texts[k]))) for k in self.languages]
 
     def encode(self, text: str) -> np.ndarray:
         """The codes of a lower-cased text, runs of non-letters as one blank."""
@@ -117,22 +129,22 @@ class Model:
             self.ready = True
         return self.codes
 
-    def phrases(self, blocks: np.ndarray, sizes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    def phrases(self, blocks: np.ndarray, sizes: np.ndarray, automaton: Automaton) -> np.ndarray:
         """Phrases of each block. Blocks are columns, the longest first, with `sizes` characters.
 
         A character that the labelled text lacks begins a phrase, which goes on after it.
         """
-        state = np.zeros(blocks.shape[1], np.int32)
+        state = np.zeros(blocks.shape[1], automaton.table.dtype)
         count = np.ones(blocks.shape[1], np.int64)
         active = len(sizes)
         for k, row in enumerate(blocks):
             while active and sizes[active - 1] <= k:
                 active -= 1
-            symbol = row[:active]
-            step = table[state[:active] + symbol]
+            symbol = automaton.own[row[:active]]
+            step = automaton.step(state[:active] + symbol)
             ended = step < 0
             count[:active] += ended
-            alone = table[symbol]
+            alone = automaton.step(symbol)
             state[:active] = np.where(ended, np.maximum(alone, 0), step)
         return count
 
@@ -153,8 +165,8 @@ class Model:
             some = order[g : g + TOGETHER]
             at = starts[some][None, :] + np.arange(lengths[some[0]])[:, None]
             blocks = flat[np.minimum(at, len(flat) - 1)]
-            for k, (table, bits) in enumerate(zip(self.tables, self.bits, strict=True)):
-                needed = self.phrases(blocks, lengths[some], table) * bits
+            for k, (automaton, bits) in enumerate(zip(self.tables, self.bits, strict=True)):
+                needed = self.phrases(blocks, lengths[some], automaton) * bits
                 cost[k] += np.bincount(owner[some], needed, len(texts))
         cost /= np.maximum(sizes, 1)
         best = cost.argmin(axis=0)  # of equals the first by name
@@ -168,11 +180,12 @@ def fit(docs: DataFrame) -> Model:
     """A model of a bounded sample of the documents that are not held out and have a language.
 
     For each language these are the FITTED_DOCS documents with the least hash of their id, of
-    those of at most FITTED_DOC_CHARS characters that have a letter. Few rows reach the
+    those that have a letter, and of each the first FITTED_DOC_CHARS characters from it on. Few rows reach the
     driver, however many there are.
     """
-    usable = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & (F.length("text") <= FITTED_DOC_CHARS) & F.col("text").rlike("\\p{L}"))
-    by_hash = usable.select("lang", "text", F.xxhash64("doc_id").alias("place"))
+    usable = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike("\\p{L}"))
+    piece = F.substring(F.regexp_replace("text", "^\\P{L}+", ""), 1, FITTED_DOC_CHARS).alias("text")
+    by_hash = usable.select("lang", piece, F.xxhash64("doc_id").alias("place"))
     ranked = by_hash.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text")))
     labelled: dict[str, str] = {}
     for row in ranked.where(F.col("rank") <= FITTED_DOCS).orderBy("lang", "rank").select("lang", "text").collect():

@@ -180,6 +180,22 @@ def test_language_of_held_out_documents(docs, odd, nothing):
     assert {r.lang_pred for r in language_id.identify(odd, language_id.fit(nothing)).collect()} == {"und"}
 
 
+def test_languages_of_many_letters(spark, monkeypatch):
+    rng = random.Random(6)
+    # Two languages of 1500 letters each, the same ones with different neighbours; one of few letters and much text.
+    letters = [chr(0x4E00 + k) for k in range(1500)]
+    word = {lang: ["".join(rng.sample(letters, 3)) for _ in range(800)] for lang in ("zb", "zc")} | {"aa": ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(800)]}
+    text = lambda lang, n: " ".join(rng.choice(word[lang]) for _ in range(n))
+    rows = [(k, text(lang, 1500 if lang == "zc" else 400), lang) for k, lang in enumerate(["aa", "zb", "zc"] * 30)]  # all of zc are long
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for entries in (1 << 24, 1000):
+        monkeypatch.setattr(language_id, "TABLE_ENTRIES", entries)
+        model = language_id.fit(docs)
+        assert model.languages == ["aa", "zb", "zc"]
+        for lang in word:
+            assert model.predict([text(lang, 30)])[0][0] == lang
+
+
 # 4: quality
 
 
