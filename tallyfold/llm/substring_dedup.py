@@ -1,12 +1,11 @@
-"""Removal of passages that earlier documents have, by relative Lempel-Ziv parsing.
+"""Removal of passages that earlier documents have, by lookup of window hashes.
 
 Method: documents in the order of their ids form reference blocks, each of which is indexed
-by the hashes of its windows of `window` words. Every document is parsed greedily against
-all blocks before its own and the earlier documents of its own block: at each place the
-longest factor that the index continues is taken, window by window, else one literal word.
-A factor may end where the passage goes on in another reference; the windows across that
-border are looked up like all others, so no repeat is lost there. Factors have at least
-`window` words, and what they cover is removed.
+by the hashes of its windows of `window` words. All windows of a document are looked up in
+all blocks before its own and in the earlier documents of its own block; the words that found
+windows cover are removed. This stands in for a greedy relative Lempel-Ziv parsing: there are
+no reference positions or literals, and a factor is a run of found windows, at least `window`
+words long, whose parts may come from different references.
 
 An index block holds each hash once, so a passage that very many documents share is one
 entry per block. The index is compared by hash range: a task gets one range of all blocks
