@@ -3,8 +3,23 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, embedding_dedup, language_id, packing, quality, secret_scan, simhash, substring_dedup, toxicity, url_filter
+from tallyfold.llm import (
+    bpe,
+    collocations,
+    decontaminate,
+    embedding_dedup,
+    language_id,
+    merkle,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
 from tallyfold.llm.common import table
+from tallyfold.llm.oracles import collocations_sql, decontamination_sql, merkle_sql
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -68,6 +83,28 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_decontamination(spark, sf_dir):
+    return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    leaf = merkle.digest_of(*fields, "text")
+    # Half of the texts lose their line ends; a null id leaves its row as it is.
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    changed = F.when(tampered, merkle.digest_of(*fields, F.replace("text", F.lit("\n"), F.lit(""))))
+    found = merkle.proofs(docs, leaf, changed=changed)
+    root = merkle.folded(F.coalesce("changed", "leaf"), F.col("proof"))
+    digests = merkle.proof_digest(F.col("proof")).alias("proof_sha256")
+    found = found.select("doc_id", "leaf", "subroot", "root", digests, root.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 LLM_QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_url_filter": op2_url_filter,
@@ -79,6 +116,9 @@ LLM_QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
+    "op12_decontamination": op12_decontamination,
+    "op13_merkle": op13_merkle,
 }
 
 _URL_RULES_SQL = ", ".join(f"('{entry}', '{entry.partition('/')[0]}', '/{entry.partition('/')[2]}', '{verdict}')" for verdict, entry in URL_RULES)
@@ -97,4 +137,7 @@ fits AS (
   FROM urls JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
   GROUP BY page_id)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN fits USING (page_id)""",
+    "op11_collocations": collocations_sql(),
+    "op12_decontamination": decontamination_sql(),
+    "op13_merkle": merkle_sql(),
 }
