@@ -80,14 +80,16 @@ def price_columns(prices="prices") -> dict[str, Column]:
     return {name: F.col(f"{prices}.{name}") for name in PRICE_FIELDS}
 
 
+def newest_rows(details: DataFrame, keys, fields, order) -> DataFrame:
+    """One row per key: the last one in the given order wins whole, its order columns included."""
+    newest = F.max(F.struct(*order, *fields)).alias("newest")
+    picked = [F.col(f"newest.{f}").alias(f) for f in [*fields, *order]]
+    return details.groupBy(*keys).agg(newest).select(*keys, *picked)
+
+
 def newest_details(details: DataFrame, keys, fields, order) -> DataFrame:
     """One row per key: the last one in the given order wins whole."""
-    newest = F.max(F.struct(*order, *fields)).alias("newest")
-    return (
-        details.groupBy(*keys)
-        .agg(newest)
-        .select(*keys, *[F.col(f"newest.{f}").alias(f) for f in fields])
-    )
+    return newest_rows(details, keys, fields, order).drop(*order)
 
 
 def attach_or_blank(facts: DataFrame, details: DataFrame, key, fields) -> DataFrame:
@@ -104,6 +106,21 @@ def single_country(countries) -> Column:
     return F.when(n == 1, F.col(countries)[0]).when(n > 1, "MULTI").otherwise("")
 
 
+def first_label(rows: DataFrame, column, labels: dict[str, str], name) -> DataFrame:
+    """Rows whose text contains a label (SQL LIKE), with the app of the first such label as `name`.
+
+    For lists of labels that are too long for an expression. Each distinct text is compared
+    with the labels once, of a bounded number, and the rows get the answer by an equality join.
+    """
+    spark = rows.sparkSession
+    listed = [(place, f"%{label}%", app) for place, (label, app) in enumerate(labels.items())]
+    patterns = F.broadcast(spark.createDataFrame(listed, "place int, pattern string, app string"))
+    texts = rows.select(column).distinct()
+    fits = texts.join(patterns, F.like(F.col(column), F.col("pattern")))
+    first = fits.groupBy(column).agg(F.min_by("app", "place").alias(name))
+    return spread_join(rows, first, [column], "inner")
+
+
 def label_accounts(rows: DataFrame, accounts: DataFrame, *on) -> DataFrame:
     """Rows of the selected accounts, with the account's label as ad_account."""
     on = ["account_id", *on]

@@ -3,27 +3,28 @@
 A provider's pages lie in one directory per account or campaign, named like
 `advertiser_id=123/`, so the id becomes a column and all pages are one scan.
 
-The entries of a page's lists are read as text and parsed one by one, so an entry of the
-wrong kind costs itself and not its page.
+The entries of a page's lists are variants: a page is parsed once, and each entry keeps its
+kind, so one of the wrong kind costs itself and not its page, and a text that looks like an
+object is still a text.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-ASA_REPORT = "data struct<reportingDataResponse: struct<row: array<string>>>"
+ASA_REPORT = "data struct<reportingDataResponse: struct<row: array<variant>>>"
 ASA_ROW = """
     metadata struct<adGroupId: string, adGroupName: string>,
-    granularity array<string>
+    granularity array<variant>
 """
 ASA_DAY = "date string, localSpend struct<amount: string, currency: string>"
-ASA_CAMPAIGNS = "data array<string>"
+ASA_CAMPAIGNS = "data array<variant>"
 ASA_CAMPAIGN = "id string, name string"
 ASA_CAMPAIGN_DETAIL = "data struct<id: string, countriesOrRegions: array<string>>"
 TIKTOK_PAGE = """
     code int,
     message string,
-    data struct<list: array<string>, page_info: struct<page: int, total_page: int>>
+    data struct<list: array<variant>, page_info: struct<page: int, total_page: int>>
 """
 TIKTOK_REPORT_ROW = """
     dimensions struct<
@@ -36,7 +37,7 @@ TIKTOK_REPORT_ROW = """
 TIKTOK_ADGROUP = """
     adgroup_id string, adgroup_name string, campaign_id string, campaign_name string
 """
-META_INSIGHTS = "data array<string>"
+META_INSIGHTS = "data array<variant>"
 META_INSIGHT = """
     date_start string,
     date_stop string,
@@ -93,10 +94,18 @@ def require_success(pages: DataFrame) -> DataFrame:
 
 
 def entries(pages: DataFrame, items, schema, *keep) -> DataFrame:
-    """One row per entry of a list of texts: `keep`, its place, its text, and `entry` if it is an object."""
-    found = pages.select(*keep, F.posexplode(items).alias("place", "entry_text"))
-    is_object = F.startswith(F.ltrim("entry_text"), F.lit("{"))
-    return found.withColumn("entry", F.when(is_object, F.from_json("entry_text", schema)))
+    """One row per entry of a list of variants: `keep`, its place, its JSON text, and `entry` if it is an object.
+
+    The entry is read behind a generator, so that conditions on it don't read it again. A
+    field of another kind than declared is null.
+    """
+    found = pages.select(*keep, F.posexplode(items).alias("place", "found"))
+    entry = F.try_variant_get("found", "$", f"struct<{schema}>")
+    return found.select(
+        *found.columns[:-1],
+        F.to_json("found").alias("entry_text"),
+        F.explode(F.array(entry)).alias("entry"),
+    )
 
 
 def split_entries(found: DataFrame) -> tuple[DataFrame, DataFrame]:

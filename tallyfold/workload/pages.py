@@ -13,10 +13,14 @@ from tallyfold.workload.proxies import as_frame
 
 
 def _pages(rows, body, schema, *ids, lists=()):
-    """The pages, with two entries that are no objects at the head of each of their `lists`."""
+    """The pages, with entries that are no objects at the head of each of their `lists`.
+
+    One is a text that looks like an object of the list.
+    """
     text = F.to_json(F.expr(body))
     for name in lists:
-        text = F.replace(text, F.lit(f'"{name}":['), F.lit(f'"{name}":["no object",7,'))
+        odd = '"no object",7,"{\\"date\\":\\"2025-01-01\\",\\"id\\":\\"1\\",\\"name\\":\\"n\\"}",'
+        text = F.replace(text, F.lit(f'"{name}":['), F.lit(f'"{name}":[{odd}'))
     keep = [*ids, *(c for c in payloads.ORDER if c in rows.columns)]
     return payloads.parse_pages(rows.select(*keep, text.alias("body")), "body", schema, *keep)
 
