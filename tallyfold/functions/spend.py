@@ -32,24 +32,33 @@ def label_matches(column, labels) -> Column:
     return reduce(or_, [contains_like(column, label) for label in labels])
 
 
+def starts_like(column, prefix) -> Column:
+    """The column begins with the prefix, in any letter case."""
+    return F.upper(F.substring(F.col(column), 1, len(prefix))) == prefix.upper()
+
+
 def is_asa_campaign(name, rules=EXAMPLE) -> Column:
-    n = len(rules.asa_prefix)
-    return F.upper(F.substring(F.col(name), 1, n)) == rules.asa_prefix.upper()
+    return reduce(or_, [starts_like(name, prefix) for prefix in rules.asa_prefixes])
 
 
 def asa_app(campaign_name, rules=EXAMPLE) -> Column:
-    return F.when(is_asa_campaign(campaign_name, rules), rules.asa_app).otherwise(fv.UNKNOWN_APP)
+    arms = [(starts_like(campaign_name, prefix), app) for prefix, app in rules.asa_prefixes.items()]
+    return pick_first(arms, fv.UNKNOWN_APP)
 
 
 def meta_app(label, rules=EXAMPLE) -> Column:
     """App by exact label; a merely similar label is unknown."""
-    arms = [(F.col(label) == text, app) for text, app in rules.meta_labels.items()]
-    return pick_first(arms, fv.UNKNOWN_APP)
+    pairs = F.create_map(*[F.lit(part) for pair in rules.meta_labels.items() for part in pair])
+    return F.coalesce(F.try_element_at(pairs, F.col(label)), F.lit(fv.UNKNOWN_APP))
+
+
+def first_label_app(label, labels) -> Column:
+    """App of the first listed label that the text contains."""
+    return pick_first([(contains_like(label, text), app) for text, app in labels.items()], fv.UNKNOWN_APP)
 
 
 def tiktok_app(label, rules=EXAMPLE) -> Column:
-    arms = [(contains_like(label, text), app) for text, app in rules.tiktok_labels.items()]
-    return pick_first(arms, fv.UNKNOWN_APP)
+    return first_label_app(label, rules.tiktok_labels)
 
 
 def asa_usd(spend, rules=EXAMPLE) -> Column:

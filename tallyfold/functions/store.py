@@ -24,7 +24,7 @@ DURATION_WORDS = [
 def app_name(bundle, rules=EXAMPLE) -> Column:
     """App of a bundle id; null when it is none of ours."""
     bundle = F.col(bundle) if isinstance(bundle, str) else bundle
-    return pick_first([(bundle == b, app) for b, app in rules.apps.items()])
+    return F.try_element_at(F.create_map(*[F.lit(part) for pair in rules.apps.items() for part in pair]), bundle)
 
 
 def is_known_bundle(bundle, rules=EXAMPLE) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tallyfold import fixed_values as fv
 from tallyfold.functions import spend as sp
-from tallyfold.rules import EXAMPLE
+from tallyfold.operators.lookups import first_label
+from tallyfold.rules import EXAMPLE, MAX_BRANCHES
 
 COLUMNS = [
     "date",
@@ -48,9 +49,18 @@ def conform_asa(rows: DataFrame, rules=EXAMPLE) -> DataFrame:
     )
 
 
+def _labelled(rows: DataFrame, labels) -> DataFrame:
+    """Rows whose account label contains one of the labels, `label_app` being the first one's app."""
+    if len(labels) > MAX_BRANCHES:
+        return first_label(rows, "ad_account", labels, "label_app")
+    kept = rows.filter(sp.label_matches("ad_account", labels))
+    return kept.withColumn("label_app", sp.first_label_app("ad_account", labels))
+
+
 def conform_meta(rows: DataFrame, rules=EXAMPLE) -> DataFrame:
+    """Accounts whose label contains a listed one; only an equal label names the app."""
     return _shape(
-        rows.filter(sp.label_matches("ad_account", rules.meta_labels)),
+        _labelled(rows, rules.meta_labels),
         fv.CHANNEL_META,
         sp.meta_app("ad_account", rules),
         sp.platform_from_campaign("campaign_name"),
@@ -60,9 +70,9 @@ def conform_meta(rows: DataFrame, rules=EXAMPLE) -> DataFrame:
 
 def conform_tiktok(rows: DataFrame, rules=EXAMPLE) -> DataFrame:
     return _shape(
-        rows.filter(sp.label_matches("ad_account", rules.tiktok_labels)),
+        _labelled(rows, rules.tiktok_labels),
         fv.CHANNEL_TIKTOK,
-        sp.tiktok_app("ad_account", rules),
+        F.col("label_app"),
         sp.platform_from_campaign("campaign_name"),
         sp.tiktok_usd("spend", rules),
     )

@@ -1,4 +1,7 @@
-"""The warehouse models: declared sources in, one replaced table out."""
+"""The warehouse models: declared sources in, one replaced table out.
+
+Apps, labels and rates come from the declared rule tables, unless they are given.
+"""
 
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -8,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyfold import fixed_values as fv
 from tallyfold.plans import ad_spend, customers, store_transactions
+from tallyfold.rules import Rules, apps_from, spend_rules
 from tallyfold.sinks.tables import table_name, write_model
 from tallyfold.sources.tables import read_source
 
@@ -16,41 +20,43 @@ from tallyfold.sources.tables import read_source
 class Model:
     custom_schema: str
     alias: str
-    # From a reader of source tables and one of upstream models.
-    build: Callable[[Callable[[str, str], DataFrame], Callable[[str], DataFrame]], DataFrame]
+    # From a reader of source tables, one of upstream models and the rules.
+    build: Callable[[Callable[[str, str], DataFrame], Callable[[str], DataFrame], Rules], DataFrame]
+    # The rules that the model needs: of apps, of spend or none.
+    needs: str = ""
 
 
 IOS, ANDROID = "Transactions_appstoreconnect", "Transactions_googleplay"
 
 
-def _ios(source, upstream):
+def _ios(source, upstream, rules):
     return store_transactions.ios_transactions(
-        source("asc", "Notification"), source("core", "Products")
+        source("asc", "Notification"), source("core", "Products"), rules
     )
 
 
-def _android(source, upstream):
+def _android(source, upstream, rules):
     return store_transactions.play_transactions(
-        source("googleplay", "Notification"), source("core", "Products")
+        source("googleplay", "Notification"), source("core", "Products"), rules
     )
 
 
-def _unified(source, upstream):
+def _unified(source, upstream, rules):
     return store_transactions.unified_transactions(upstream(IOS), upstream(ANDROID))
 
 
-def _ad_spend(source, upstream):
+def _ad_spend(source, upstream, rules):
     return ad_spend.ad_spend(
-        *[source("ads", fv.SPEND_TABLES[channel]) for channel in ("asa", "meta", "tiktok")]
+        *[source("ads", fv.SPEND_TABLES[channel]) for channel in ("asa", "meta", "tiktok")], rules
     )
 
 
-def _billing(table, product, source, upstream):
+def _billing(table, product, source, upstream, rules):
     rolled = customers.customer_rollup(source("raw", table), source("core", "Products"), product)
     return rolled.withColumnsRenamed(fv.BILLING_MODEL_NAMES)
 
 
-def _events(source, upstream):
+def _events(source, upstream, rules):
     android, ios = (source("raw", table) for table in fv.EVENT_TABLES)
     rolled = customers.activation_rollup(
         android, ios, source("core", "Products"), allow_fanout=True
@@ -60,10 +66,10 @@ def _events(source, upstream):
 
 # In an order in which each model comes after those it reads.
 MODELS = {
-    IOS: Model("AppStoreConnect", "Transactions", _ios),
-    ANDROID: Model("GooglePlay", "Transactions", _android),
+    IOS: Model("AppStoreConnect", "Transactions", _ios, "apps"),
+    ANDROID: Model("GooglePlay", "Transactions", _android, "apps"),
     "Transaction": Model("Core", "Transaction", _unified),
-    "AdSpend": Model("Core", "AdSpend", _ad_spend),
+    "AdSpend": Model("Core", "AdSpend", _ad_spend, "spend"),
     **{
         name: Model("Experimentation", name, partial(_billing, table, product))
         for name, (table, product) in fv.BILLING_MODELS.items()
@@ -76,27 +82,39 @@ def _source(spark, paths):
     return lambda *table: read_source(spark, *table, (paths or {}).get(table))
 
 
-def model(spark: SparkSession, name, paths=None) -> DataFrame:
+def _rules(source, needs) -> Rules:
+    """The rules that a model needs, from their declared tables."""
+    if needs == "apps":
+        return Rules(apps=apps_from(source("rules", "Apps")))
+    if needs == "spend":
+        return Rules(**spend_rules(source("rules", "Labels"), source("rules", "Rates")))
+    return Rules()
+
+
+def model(spark: SparkSession, name, paths=None, rules=None) -> DataFrame:
     """A model as one lazy DataFrame, upstream models and all.
 
-    `paths` maps (source, table) to Parquet paths; other sources are in the catalog.
+    `paths` maps (source, table) to Parquet paths; other sources are in the catalog. Without
+    `rules` those are read from the rule tables; one that is empty is an error.
     """
 
     def upstream(other):
-        return model(spark, other, paths)
+        return model(spark, other, paths, rules)
 
-    return MODELS[name].build(_source(spark, paths), upstream)
+    source = _source(spark, paths)
+    return MODELS[name].build(source, upstream, rules or _rules(source, MODELS[name].needs))
 
 
-def run_model(spark: SparkSession, name, target, paths=None):
+def run_model(spark: SparkSession, name, target, paths=None, rules=None):
     """Build a model and replace its table; returns the table's name.
 
-    Upstream models are read from their tables, so they have to be run before.
+    Upstream models are read from their tables, so they have to be run before. Sources and
+    rules are as in `model`.
     """
 
     def upstream(other):
         return spark.table(table_name(target, MODELS[other].alias, MODELS[other].custom_schema))
 
-    chosen = MODELS[name]
-    rows = chosen.build(_source(spark, paths), upstream)
+    chosen, source = MODELS[name], _source(spark, paths)
+    rows = chosen.build(source, upstream, rules or _rules(source, chosen.needs))
     return write_model(rows, target, chosen.alias, chosen.custom_schema)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyfold import fixed_values as fv
+from tallyfold.rules import APPS, LABELS, RATES
 
 IOS_NOTIFICATION = """
     originalTransactionId string, NotificationType string, SubType string,
@@ -40,6 +41,11 @@ SPEND = """
     date date, ad_account string, country string, spend double, campaign_id string,
     campaign_name string, adgroup_id string, adgroup_name string, currency string
 """
+ACCOUNTS = "channel string, ad_account string, account_id string, is_new boolean"
+
+#: Schema of the tables that hold the rules of a deployment, and the tables.
+RULE_SCHEMA = "Rules"
+RULE_TABLES = {"Apps": APPS, "Labels": LABELS, "Rates": RATES, "Accounts": ACCOUNTS}
 
 # Fixed values: (source, table) as declared in the warehouse, their schema there
 # and their columns.
@@ -54,6 +60,7 @@ SOURCES = {
     },
     **{("raw", table): ("Revenue", SUBSCRIPTION_EVENT) for table in fv.EVENT_TABLES},
     **{("ads", table): (fv.SPEND_SCHEMA, SPEND) for table in fv.SPEND_TABLES.values()},
+    **{("rules", table): (RULE_SCHEMA, ddl) for table, ddl in RULE_TABLES.items()},
 }
 
 # Headings of the event export that are not the snake case of themselves.
