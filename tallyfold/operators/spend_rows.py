@@ -25,15 +25,23 @@ def check_channel(channel):
     return channel
 
 
-def conform(rows: DataFrame) -> DataFrame:
-    """Spend to six decimals and empty optional texts to null."""
+def conform(rows: DataFrame, *more) -> DataFrame:
+    """Spend to six decimals and empty optional texts to null; `more` columns are kept as they are."""
     return rows.select(
         "date", "ad_account", "country",
         six_decimals("spend").alias("spend"),
         *[blank_to_null(c).alias(c) for c in OPTIONAL],
+        *more,
     )
 
 
+def with_reason(rows: DataFrame) -> DataFrame:
+    """Rows with the reason why they can't be loaded: the one they have, or a missing required value."""
+    missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED])
+    incomplete = F.when(~is_valid(), F.concat(F.lit("a required value is missing: "), missing))
+    return rows.withColumn("reason", F.coalesce("reason", incomplete))
+
+
 def is_valid() -> Column:
     ok = F.lit(True)
     for name in REQUIRED:

@@ -3,6 +3,7 @@ import datetime as dt
 from glob import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfold import fixed_values as fv
 from tallyfold.operators import spend_rows
@@ -41,6 +42,53 @@ def test_model_is_replaced_whole(spark):
     spark.sql("DROP SCHEMA unit_Core CASCADE")
 
 
+def test_a_failed_refresh_leaves_the_old_rows(spark):
+    def failing():
+        return spark.range(5).select(F.raise_error(F.lit("no more")).alias("id"))
+
+    with pytest.raises(Exception, match="no more"):
+        sinks.write_model(failing(), "unit", "Safe")
+    assert not spark.catalog.tableExists("unit.Safe")
+    name = sinks.write_model(spark.range(5), "unit", "Safe")
+    with pytest.raises(Exception, match="no more"):
+        sinks.write_model(failing(), "unit", "Safe")
+    assert spark.table(name).count() == 5
+    assert len(sinks._versions(spark, "unit", "Safe")) == 1
+    # A reader that has begun reads on while the next refresh goes through, of another schema as well.
+    begun = spark.table(name)
+    sinks.write_model(begun.selectExpr("id * 2 AS twice", "'x' AS more"), "unit", "Safe")
+    assert begun.count() == 5 and spark.table(name).columns == ["twice", "more"]
+    for n in (1, 2, 3):
+        sinks.write_model(spark.range(n), "unit", "Safe")
+    assert spark.table(name).count() == 3 and len(sinks._versions(spark, "unit", "Safe")) == 2
+    spark.sql("DROP SCHEMA unit CASCADE")
+
+
+def test_the_name_is_never_missing(spark, monkeypatch):
+    name = sinks.write_model(spark.range(2), "unit", "Seen")
+    run, missing = type(spark).sql, []
+
+    def watched(session, text, *args, **more):
+        out = run(session, text, *args, **more)
+        missing.append(not spark.catalog.tableExists("unit.Seen"))
+        return out
+
+    monkeypatch.setattr(type(spark), "sql", watched)
+    sinks.write_model(spark.range(3), "unit", "Seen")
+    monkeypatch.undo()
+    assert len(missing) > 2 and not any(missing) and spark.table(name).count() == 3
+    spark.sql("DROP SCHEMA unit CASCADE")
+
+
+def test_a_plain_table_becomes_the_first_version(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS unit")
+    spark.range(4).write.saveAsTable("unit.Old")
+    name = sinks.write_model(spark.table("unit.Old").selectExpr("id + 1 AS id"), "unit", "Old")
+    assert sorted(r.id for r in spark.table(name).collect()) == [1, 2, 3, 4]
+    assert spark.table("unit.Old__v0").count() == 4
+    spark.sql("DROP SCHEMA unit CASCADE")
+
+
 def test_append_doubles_and_window_replaces(spark, rows, table):
     first = rows(tables.SPEND, spend(), spend(amount=2.0), spend(NEXT))
     sinks.append_spend(first, table)
