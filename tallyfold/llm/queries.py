@@ -67,7 +67,7 @@ def op6_simhash(spark, sf_dir):
 def op7_secret_scan(spark, sf_dir):
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     digest = F.sha2("candidate", 256).alias("candidate_sha256")
-    return found.select("doc_id", "place", F.length("candidate").cast("long").alias("n_chars"), digest, "name", "score", "is_secret")
+    return found.select("doc_id", "place", "part", F.length("candidate").cast("long").alias("n_chars"), digest, "name", "score", "is_secret")
 
 
 def op8_embedding_dedup(spark, sf_dir):
