@@ -3,7 +3,8 @@
 Method: hierarchical residual packing. Documents become pieces; full pieces are sequences
 by themselves. The others are packed best-fit, in groups that fit a task; bins that are
 full, or nearly, or have no room for any other, are emitted. The underfull bins go on as items
-of the next round, in at most half as many groups, until one group holds all of them.
+of the next round, dealt anew into as few groups as hold them, until it is one group or until a
+round joins hardly any. No group has more items than a task can pack, in any round.
 """
 
 import json
@@ -12,7 +13,7 @@ import struct
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.bpe import byte_symbols
@@ -22,6 +23,8 @@ from tallyfold.llm.common import cut
 GROUP_ITEMS = 20_000
 #: A bin with this much room left, or less, is emitted; 4 tokens are 0.4 % of a sequence.
 NEARLY_FULL = 4
+#: A round that leaves more than this share of its items as bins is the last.
+LEAST_GAIN = 0.99
 #: Text segments whose ids a task keeps; when there are more, it starts anew. Bounds memory only.
 CACHED_SEGMENTS = 400_000
 
@@ -159,6 +162,11 @@ def _packer(capacity: int):
     return run
 
 
+def _part(groups: int, number: int) -> Column:
+    """The group of an item in a round. Its place, the same if a task is repeated, spreads items that are equal."""
+    return F.pmod(F.xxhash64("members", F.monotonically_increasing_id(), F.lit(number)), F.lit(groups))
+
+
 def pack(cut_pieces: DataFrame, capacity: int = 1024, group_items: int = GROUP_ITEMS, nearly_full: int = NEARLY_FULL) -> DataFrame:
     """The pieces with the sequence and the offset at which each is placed.
 
@@ -170,12 +178,11 @@ def pack(cut_pieces: DataFrame, capacity: int = 1024, group_items: int = GROUP_I
     whole = cut_pieces.where(F.col("length") == capacity)
     rest = cut_pieces.where(F.col("length") < capacity)
     items = rest.mapInArrow(_as_items, "size long, members binary")
-    before, groups = rest.count(), None
+    before = rest.count()
     emitted = []
     while before:
-        # At most half as many groups as before, so also bins that a round hardly fills meet others.
-        groups = min(-(-before // group_items), groups // 2 if groups else before)
-        dealt = items.withColumn("part", F.pmod(F.xxhash64("members", F.lit(len(emitted))), F.lit(groups)))
+        groups = -(-before // group_items)
+        dealt = items.withColumn("part", _part(groups, len(emitted)))
         bins = cut(dealt.groupBy("part").applyInArrow(_packer(capacity), "size long, members binary"))
         if groups == 1:
             emitted.append(bins)
@@ -183,9 +190,12 @@ def pack(cut_pieces: DataFrame, capacity: int = 1024, group_items: int = GROUP_I
         underfull = F.col("size") < capacity - nearly_full
         smallest = bins.where(underfull).agg(F.min("size")).first()[0] or 0
         goes_on = underfull & (F.col("size") <= capacity - smallest)  # others have no room for any bin
+        left = bins.where(goes_on).count()
+        if left > LEAST_GAIN * before:
+            emitted.append(bins)
+            break
         emitted.append(bins.where(~goes_on))
-        items = bins.where(goes_on)
-        before = items.count()
+        items, before = bins.where(goes_on), left
     number = F.monotonically_increasing_id()  # over rows that were cut off: the same if a task is repeated
     done = whole.withColumn("sequence_id", 2 * number).withColumn("offset", F.lit(0).cast("long"))
     if emitted:
