@@ -13,16 +13,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(frame: DataFrame) -> DataFrame:
-    """The frame, computed now and kept in the checkpoint folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's `spark.checkpoint.dir`.
 
-    The folder is the session's `spark.checkpoint.dir`. Only where that is unset, as in a
-    local test, is a temporary one made.
+    Only a local session that has none, as in a test, gets a temporary one; on a cluster its
+    executors would not find it, so there it is an error.
     """
-    context = frame.sparkSession.sparkContext
+    context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def cut(frame: DataFrame) -> DataFrame:
+    """The frame, computed now and kept in the folder that all executors share."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 

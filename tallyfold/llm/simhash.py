@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.common import cut
 from tallyfold.llm.components import components
+from tallyfold.operators.lookups import spread_join
 
 
 def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
@@ -111,14 +112,15 @@ def _grouped(docs: DataFrame, shingle: int, seed: int, distance: int) -> DataFra
     roots = components(links(distinct.select("fp"), distance))
     grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     first = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = cut(grouped.join(first, "root").select("fp", "root", "component_id"))
+    # A root may stand for very many fingerprints; this join can be split.
+    named = cut(spread_join(grouped, first, ["root"], "inner").select("fp", "root", "component_id"))
     # The hash beside the key gives both sides a plain shuffle, so a hot fingerprint is split.
     mark = F.xxhash64("fp").alias("mark")
     return prints.select("*", mark).join(named.select("*", mark), ["fp", "mark"], "left").drop("mark")
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = 4, seed: int = 42, distance: int = 4) -> DataFrame:
-    """The documents with all their columns, one of each near-duplicate group: the least doc_id.
+    """The documents with all their columns, whatever their names, one of each near-duplicate group: the least doc_id.
 
     Documents without an id come after those with one, so one of them stays where a group has
     no other. Of equal ids the least hash of the text decides, and of repeated rows one stays.
@@ -128,10 +130,12 @@ def one_of_each_group(docs: DataFrame, shingle: int = 4, seed: int = 42, distanc
     rows = found.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "n")
     first = cut(rows.groupBy("root").agg(F.min(order).alias("row")).select(F.col("row.doc_id").alias("first_id"), F.col("row.text_key").alias("first_key"), (F.col("row.n") > 1).alias("repeated")))
-    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (key == F.col("first_key"))
-    once = docs.join(first.where("NOT repeated"), same, "left_semi")
+    # The rows are structs on the way, so that no name of theirs meets one of ours.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col("doc_id").alias("own_id"), key.alias("own_key"))
+    same = F.col("own_id").eqNullSafe(F.col("first_id")) & (F.col("own_key") == F.col("first_key"))
+    once = rows.join(first.where("NOT repeated"), same, "left_semi")
     repeated = first.where("repeated")
-    if repeated.isEmpty():
-        return once
-    copies = docs.join(repeated, same, "left_semi").withColumn("_text_key", key)
-    return once.unionAll(copies.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key"))
+    if not repeated.isEmpty():
+        copies = rows.join(repeated, same, "left_semi")
+        once = once.unionAll(copies.dropDuplicates(["own_id", "own_key"]))
+    return once.select(*(F.col(f"doc.`{c}`") for c in docs.columns))
