@@ -5,13 +5,12 @@ tables between the stages are Parquet in the folder that all executors share. Al
 but the last return the columns of `documents`.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from tallyfold.llm import packing, quality, secret_scan, simhash, substring_dedup
-from tallyfold.llm.common import table
+from tallyfold.llm.common import shared_folder, table
 from tallyfold.llm.queries import BYTE_BPE, vocabulary
 
 
@@ -53,17 +52,15 @@ ORACLE_SQL = None
 
 
 def _counted(docs):
+    """The documents with their column `n_chars`, if they have one, counted anew."""
+    if "n_chars" not in docs.columns:
+        return docs
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
-def _shared_folder(spark) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{folder or tempfile.mkdtemp(prefix='pipeline-')}/pipeline-{uuid.uuid4().hex}"
-
-
 def run(spark, sf_dir):
     """The stages applied to `documents`, each written and read again but for the last."""
-    folder = _shared_folder(spark)
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
