@@ -112,6 +112,9 @@ PLAY_ID = "base_order_id"
 
 
 def with_base_order(rows: DataFrame) -> DataFrame:
+    """The rows with their base order; rows that are laid out by it have it already."""
+    if PLAY_ID in rows.columns:
+        return rows
     return rows.withColumn(PLAY_ID, base_order_id("latestOrderId"))
 
 

@@ -78,8 +78,8 @@ MODELS = {
 }
 
 
-def _source(spark, paths):
-    return lambda *table: read_source(spark, *table, (paths or {}).get(table))
+def _source(spark, paths, laid_out):
+    return lambda *table: read_source(spark, *table, (paths or {}).get(table), laid_out)
 
 
 def _rules(source, needs) -> Rules:
@@ -91,30 +91,31 @@ def _rules(source, needs) -> Rules:
     return Rules()
 
 
-def model(spark: SparkSession, name, paths=None, rules=None) -> DataFrame:
+def model(spark: SparkSession, name, paths=None, rules=None, laid_out=False) -> DataFrame:
     """A model as one lazy DataFrame, upstream models and all.
 
     `paths` maps (source, table) to Parquet paths; other sources are in the catalog. Without
-    `rules` those are read from the rule tables; one that is empty is an error.
+    `rules` those are read from the rule tables; one that is empty is an error. With `laid_out`
+    event tables are read from their copies in buckets where there are such (see `layouts`).
     """
 
     def upstream(other):
-        return model(spark, other, paths, rules)
+        return model(spark, other, paths, rules, laid_out)
 
-    source = _source(spark, paths)
+    source = _source(spark, paths, laid_out)
     return MODELS[name].build(source, upstream, rules or _rules(source, MODELS[name].needs))
 
 
-def run_model(spark: SparkSession, name, target, paths=None, rules=None):
+def run_model(spark: SparkSession, name, target, paths=None, rules=None, laid_out=False):
     """Build a model and replace its table; returns the table's name.
 
-    Upstream models are read from their tables, so they have to be run before. Sources and
-    rules are as in `model`.
+    Upstream models are read from their tables, so they have to be run before. Sources, rules
+    and copies are as in `model`.
     """
 
     def upstream(other):
         return spark.table(table_name(target, MODELS[other].alias, MODELS[other].custom_schema))
 
-    chosen, source = MODELS[name], _source(spark, paths)
+    chosen, source = MODELS[name], _source(spark, paths, laid_out)
     rows = chosen.build(source, upstream, rules or _rules(source, chosen.needs))
     return write_model(rows, target, chosen.alias, chosen.custom_schema)

@@ -45,8 +45,8 @@ def _shown_version(spark: SparkSession, schema, alias) -> str | None:
     return said["View Text"].rsplit("`", 2)[1]
 
 
-def write_model(rows: DataFrame, target, alias, custom=None):
-    """Replace the whole table of a model; returns its name.
+def write_model(rows: DataFrame, target, alias, custom=None, buckets=0, key=None):
+    """Replace the whole table of a model; returns its name. With `buckets` it is bucketed by `key`.
 
     The rows go to a table of their own, a version, and the model's name is a view of the
     version last written. The view is replaced in one step after the write has succeeded: a
@@ -61,8 +61,12 @@ def write_model(rows: DataFrame, target, alias, custom=None):
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
     version = f"{alias}__v{stamp}_{uuid.uuid4().hex[:8]}"
+    writer = rows.write.format("parquet")
+    if buckets:
+        # Dealt as the buckets are, so a task writes one bucket as one file.
+        writer = rows.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
     try:
-        rows.write.format("parquet").saveAsTable(f"`{schema}`.`{version}`")
+        writer.saveAsTable(f"`{schema}`.`{version}`")
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{version}`")
         raise

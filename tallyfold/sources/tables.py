@@ -63,6 +63,13 @@ SOURCES = {
     **{("rules", table): (RULE_SCHEMA, ddl) for table, ddl in RULE_TABLES.items()},
 }
 
+#: Columns by whose buckets a copy of a table may be laid out, so that its rollup shuffles no events.
+LAYOUTS = {
+    ("asc", "Notification"): "originalTransactionId",
+    ("googleplay", "Notification"): "base_order_id",
+    **{("raw", table): "rc_original_app_user_id" for table, _ in fv.BILLING_MODELS.values()},
+}
+
 # Headings of the event export that are not the snake case of themselves.
 EVENT_HEADINGS = {"event receive date": "event_ts", "install date": "install_ts"}
 
@@ -103,11 +110,26 @@ def conform_to(rows: DataFrame, ddl) -> DataFrame:
     return rows.select(*columns)
 
 
-def read_source(spark: SparkSession, source, table, path=None) -> DataFrame:
-    """A declared table, from the catalog or from a Parquet path."""
+def layout_name(source, table):
+    """(schema, name) of the laid-out copy of a table."""
+    return SOURCES[source, table][0], f"{table}_by_id"
+
+
+def read_source(spark: SparkSession, source, table, path=None, laid_out=False) -> DataFrame:
+    """A declared table, from the catalog or from a Parquet path.
+
+    With `laid_out` its copy in buckets is read where there is one; that has the column of its
+    buckets, too.
+    """
     if (source, table) not in SOURCES:
         raise KeyError(f"no source table {source}.{table}")
     schema, ddl = SOURCES[source, table]
+    if laid_out and (source, table) in LAYOUTS:
+        copy = ".".join(f"`{part}`" for part in layout_name(source, table))
+        if spark.catalog.tableExists(copy):
+            key = LAYOUTS[source, table]
+            known = StructType.fromDDL(ddl).names
+            return conform_to(spark.table(copy), ddl if key in known else f"{ddl}, {key} string")
     rows = spark.read.parquet(path) if path else spark.table(f"`{schema}`.`{table}`")
     if ddl is SUBSCRIPTION_EVENT:
         rows = snake_case(rows)
