@@ -69,6 +69,38 @@ def attach_prices(facts: DataFrame, book: DataFrame, country: Column, sku) -> Da
     return spread_join(keyed, book, keys).drop(*keys)
 
 
+def priced_by_pairs(spark, priced=None) -> bool:
+    """Whether events are priced by the distinct pairs of their ids, after the rollup.
+
+    `priced` is "rows" (each event is joined to the book, which is broadcast if Spark finds it
+    small enough), "pairs", or None for pairs where broadcasting is off. A book past the
+    broadcast limit is better joined by pairs: the events are then shuffled once, by id.
+    """
+    if priced not in (None, "rows", "pairs"):
+        raise ValueError("priced must be rows or pairs")
+    off = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+    return priced == "pairs" or (priced is None and off)
+
+
+def price_pair(country: Column, sku) -> Column:
+    """The price key of a row; a rollup collects the distinct ones of an id."""
+    return F.struct(country.alias("price_country"), F.col(sku).alias("price_sku"))
+
+
+def price_rolled(rolled: DataFrame, book: DataFrame, key, pairs="pairs") -> DataFrame:
+    """Rolled rows with the least prices over the pairs of their id, as `prices`.
+
+    Only the pairs of the ids meet the book, so its join moves no events, and a pair that very
+    many events have counts once an id.
+    """
+    rest = [c for c in rolled.columns if c not in (key, pairs)]
+    each = rolled.select(key, F.struct(*rest).alias("rest"), F.explode_outer(pairs).alias("pair"))
+    keyed = each.select(key, "rest", "pair.price_country", "pair.price_sku")
+    priced = spread_join(keyed, book, ["price_country", "price_sku"])
+    least = priced.groupBy(key).agg(F.first("rest").alias("rest"), F.min("prices").alias("prices"))
+    return least.select(key, "rest.*", "prices")
+
+
 def best_price(countries, prices_by_country) -> Column:
     """Least listed price row over the countries that have one."""
     return F.array_min(

@@ -49,11 +49,11 @@ UNSHARED_EVENT_COLUMNS = ["transaction_id", "subscription_group", "app_id"]
 
 
 def customer_rollup(
-    billing: DataFrame, products: DataFrame, product="any"
+    billing: DataFrame, products: DataFrame, product="any", priced=None
 ) -> DataFrame:
     """Billing rows to customers; `product` is "any" or "latest" (by start time).
 
-    `has_refunded` holds the time of the last refund.
+    `has_refunded` holds the time of the last refund. `priced` is as in `priced_by_pairs`.
     """
     picks = {
         "any": pick_any("product_identifier"),
@@ -63,10 +63,11 @@ def customer_rollup(
         raise ValueError(f"product must be one of {', '.join(picks)}")
     signals = cohorts.billing_signals()
     book = lookups.price_book(products)
-    priced = lookups.attach_prices(
-        billing, book, trimmed_lower("country"), "product_identifier"
-    )
-    rolled = priced.groupBy(cohorts.BILLING_ID).agg(
+    by_pairs = lookups.priced_by_pairs(billing.sparkSession, priced)
+    country, sku = trimmed_lower("country"), "product_identifier"
+    rows = billing if by_pairs else lookups.attach_prices(billing, book, country, sku)
+    pair = F.collect_set(lookups.price_pair(country, sku)).alias("pairs")
+    rolled = rows.groupBy(cohorts.BILLING_ID).agg(
         F.min(F.to_date("first_seen_time")).alias("first_seen_date"),
         pick_any("country").alias("country"),
         pick_any("platform").alias("platform"),
@@ -74,8 +75,10 @@ def customer_rollup(
         *[any_row(p).alias(name) for name, p in signals.items()],
         picks[product].alias("product_id"),
         F.max("purchase_price_in_usd").alias("purchased_price_usd"),
-        F.min("prices").alias("prices"),
+        pair if by_pairs else F.min("prices").alias("prices"),
     )
+    if by_pairs:
+        rolled = lookups.price_rolled(rolled, book, cohorts.BILLING_ID)
     trial = F.col(cohorts.BILLING_ID).isNotNull() & F.col("trial")
     return (
         rolled.withColumns(

@@ -88,15 +88,23 @@ def ios_transactions(notifications: DataFrame, products: DataFrame, rules=EXAMPL
     )
 
 
-def play_transactions(notifications: DataFrame, products: DataFrame, rules=EXAMPLE) -> DataFrame:
-    """Android transactions of the known apps, renewals folded into their base order."""
+def play_transactions(
+    notifications: DataFrame, products: DataFrame, rules=EXAMPLE, priced=None
+) -> DataFrame:
+    """Android transactions of the known apps, renewals folded into their base order.
+
+    `priced` is as in `priced_by_pairs`.
+    """
     signals = cohorts.play_signals()
     rows = cohorts.with_base_order(notifications).withColumn(
         "sku", composite_sku("productId", "basePlanId")
     )
     book = lookups.price_book(products)
-    priced = lookups.attach_prices(rows, book, trimmed_lower("regionCode"), "sku")
-    rolled = priced.groupBy(cohorts.PLAY_ID).agg(
+    by_pairs = lookups.priced_by_pairs(notifications.sparkSession, priced)
+    country = trimmed_lower("regionCode")
+    rows = rows if by_pairs else lookups.attach_prices(rows, book, country, "sku")
+    pair = F.collect_set(lookups.price_pair(country, "sku")).alias("pairs")
+    rolled = rows.groupBy(cohorts.PLAY_ID).agg(
         any_row(signals["trial"]).alias("trial"),
         any_row(signals["renewed"]).alias("renewed"),
         any_row(signals["direct"]).alias("direct"),
@@ -108,8 +116,10 @@ def play_transactions(notifications: DataFrame, products: DataFrame, rules=EXAMP
         pick_any("packageName").alias("bundle_id"),
         pick_any("currencyCode").alias("currency"),
         pick_any(app_name("packageName", rules)).alias("app_name"),
-        F.min("prices").alias("prices"),
+        pair if by_pairs else F.min("prices").alias("prices"),
     )
+    if by_pairs:
+        rolled = lookups.price_rolled(rolled, book, cohorts.PLAY_ID)
     # base_order_id is null only when the order id is, and then no signal can
     # hold but the renewal one, which counts for trials alone.
     return (

@@ -276,3 +276,29 @@ def test_rules_from_tables(spark, rows):
     tiktok = rows(tables.SPEND, {"ad_account": "my Tik", "spend": 10.0})
     got = {(r.ad_account, r.spend_in_usd) for r in ad_spend.ad_spend(asa, meta, tiktok, given).collect()}
     assert got == {("P", 10.0), ("O", 30.0), ("K", 20.0)}
+
+
+@pytest.mark.parametrize("name, key", [("play", "base_order_id"), ("billing", "rc_original_app_user_id")])
+def test_pricing_by_pairs_moves_events_once(spark, name, key):
+    catalogue = queries.products(spark, SMALL)
+
+    def priced(how):
+        if name == "play":
+            return store_transactions.play_transactions(queries.play(spark, SMALL), catalogue, priced=how)
+        return customers.customer_rollup(queries.billing(spark, SMALL), catalogue, "latest", priced=how)
+
+    assert sorted(map(str, priced("rows").collect())) == sorted(map(str, priced("pairs").collect()))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        plan = priced(None)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    # Above the event scan there is one shuffle, by id; the pairs meet the book above it.
+    moves = [line.strip(" :+-") for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    by_pair = [i for i, line in enumerate(moves) if "hashpartitioning(price_country" in line]
+    assert f"hashpartitioning({key}#" in moves[by_pair[0] + 1]
+    assert sum(f"hashpartitioning({key}#" in line for line in moves) == 2 and "explode" in plan
+    with pytest.raises(ValueError, match="rows or pairs"):
+        priced("sku")
