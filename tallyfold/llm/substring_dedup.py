@@ -1,19 +1,22 @@
-"""Removal of passages that earlier documents have, by lookup of window hashes.
-
-Method: documents in the order of their ids form reference blocks, each of which is indexed
-by the hashes of its windows of `window` words. All windows of a document are looked up in
-all blocks before its own and in the earlier documents of its own block; the words that found
-windows cover are removed. This stands in for a greedy relative Lempel-Ziv parsing: there are
-no reference positions or literals, and a factor is a run of found windows, at least `window`
-words long, whose parts may come from different references.
-
-An index block holds each hash once, so a passage that very many documents share is one
-entry per block. The index is compared by hash range: a task gets one range of all blocks
-and tells each block which of its hashes an earlier block has, as one bit per hash.
+"""Removal of passages that earlier documents have, by relative Lempel-Ziv parsing.
+
+Method: documents in the order of their ids form reference blocks. Each block is indexed by the
+hashes of its windows of `window` words, and the indexes meet by ranges of hashes: a task gets one
+range of all blocks and finds, for each hash of a block, the last block before it that has it.
+That block is asked for the reference, and answers with the passage of words around it. A
+document is then parsed greedily: where the index of the references (those passages and the
+earlier documents of the own block) has its next window, the factor is copied from there, word
+by word as far as both agree; else a word is a literal. A factor is at least a window long, so
+its words are duplicates; windows across its end are looked up again, since the next factor may
+reach back into it. All words are compared, so equal hashes of different words remove nothing.
+
+An index block holds each hash once and is asked for it by one later block at most, so a passage
+that very many documents share is one entry and one answer a block.
 """
 
 import hashlib
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +27,9 @@ from pyspark.sql import functions as F
 #: Bytes of text of a reference block, and windows of a hash range, on average.
 BLOCK_BYTES = 8 << 20
 RANGE_WINDOWS = 1 << 20
-#: Name of the column that is added to the documents on the way.
-BLOCK = "_reference_block"
+#: Bytes of text that one row of the sample for the borders stands for.
+SAMPLE_BYTES = 4096
+
 
 def _mixers(window: int) -> np.ndarray:
     """Odd factors, one for each place in a window."""
@@ -69,76 +73,166 @@ def _borders(ranges: int) -> np.ndarray:
     return np.array([(k << 64) // ranges for k in range(1, ranges)], np.uint64)
 
 
-def _indexer(window: int, ranges: int):
+def _indexer(window: int, ranges: int, block: str):
     def run(table: pa.Table) -> pa.Table:
         _, texts, _ = _text_rows(table)
         _, sizes, hashes = word_hashes(texts)
         index = np.unique(windows(sizes, hashes, window)[2])
         parts = np.split(index, np.searchsorted(index, _borders(ranges)))
         full = [k for k, p in enumerate(parts) if len(p)]
-        block = table[BLOCK][0].as_py()
-        return pa.table({"range": pa.array(full, "int32"), BLOCK: pa.array([block] * len(full), "int32"), "hashes": pa.array([parts[k].astype("<u8").tobytes() for k in full], "binary")})
+        own = [table[block][0].as_py()] * len(full)
+        return pa.table({"range": pa.array(full, "int32"), "asker": pa.array(own, "int32"), "hashes": pa.array([parts[k].astype("<u8").tobytes() for k in full], "binary")})
+
+    return run
+
+
+def _asker(last: int, block: str):
+    """For one hash range: which block each block asks for which hashes. Blocks after `last` are never asked."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(h, "<u8") for h in table["hashes"].to_pylist()]
+        hashes = np.concatenate(parts)
+        blocks = np.repeat(np.array(table["asker"].to_pylist(), np.int64), [len(p) for p in parts])
+        order = np.lexsort((blocks, hashes))
+        hashes, blocks = hashes[order], blocks[order]
+        # The place of the last entry before each one whose block may be asked.
+        place = np.maximum.accumulate(np.where(blocks <= last, np.arange(len(blocks)), -1))
+        place = np.concatenate(([-1], place[:-1]))
+        found = np.flatnonzero((place >= 0) & (hashes[place] == hashes))
+        asked, asker, hashes = blocks[place[found]], blocks[found], hashes[found]
+        order = np.lexsort((hashes, asker, asked))
+        asked, asker, hashes = asked[order], asker[order], hashes[order].astype("<u8")
+        changes = np.flatnonzero((asked[1:] != asked[:-1]) | (asker[1:] != asker[:-1])) + 1
+        edges = np.concatenate(([0], changes)) if len(asked) else changes
+        sent = [part.tobytes() for part in np.split(hashes, changes)] if len(asked) else []
+        return pa.table({block: pa.array(asked[edges], "int32"), "asker": pa.array(asker[edges], "int32"), "hashes": pa.array(sent, "binary")})
+
+    return run
+
+
+def _answerer(window: int, block: str):
+    """Cogroup function of a block and what it is asked: the passages that hold the windows, for each block that asked."""
+
+    def run(docs: pa.Table, asked: pa.Table) -> pa.Table:
+        out = {"asker": [], "passage": []}
+        if docs.num_rows and asked.num_rows:
+            _, texts, _ = _text_rows(docs)
+            words, sizes, hashes = word_hashes(texts)
+            at, document, mixed = windows(sizes, hashes, window)
+            index, first = np.unique(mixed, return_index=True)
+            starts = np.cumsum(sizes) - sizes
+            wanted: dict[int, list] = {}
+            for asker, sent in zip(asked["asker"].to_pylist(), asked["hashes"].to_pylist(), strict=True):
+                wanted.setdefault(asker, []).append(np.frombuffer(sent, "<u8"))
+            for asker, sent in wanted.items():
+                found = np.sort(first[np.searchsorted(index, np.concatenate(sent))])
+                place, doc = at[found], document[found]
+                # Windows that start next to each other in one document, or overlap there, are one passage.
+                fresh = np.concatenate(([True], (doc[1:] != doc[:-1]) | (place[1:] > place[:-1] + window)))
+                begins, ends = place[fresh], np.append(place[:-1][fresh[1:]], place[-1]) + window
+                for d, a, z in zip(doc[fresh].tolist(), begins.tolist(), ends.tolist(), strict=True):
+                    out["asker"].append(asker)
+                    out["passage"].append(b" ".join(words[d][a - int(starts[d]) : z - int(starts[d])]))
+        return pa.table({block: pa.array(out["asker"], "int32"), "passage": pa.array(out["passage"], "binary")})
 
     return run
 
 
-def _seen_before(table: pa.Table) -> pa.Table:
-    """For one hash range: which hashes of each block an earlier block has, as bits."""
-    table = table.sort_by(BLOCK)
-    parts = [np.frombuffer(h, "<u8") for h in table["hashes"].to_pylist()]
-    hashes = np.concatenate(parts)
-    order = np.argsort(hashes, kind="stable")  # the blocks of a hash stay in their order
-    ordered = hashes[order]
-    seen = np.zeros(len(hashes), bool)
-    seen[order[1:]] = ordered[1:] == ordered[:-1]
-    marks = [np.packbits(s).tobytes() for s in np.split(seen, np.cumsum([len(p) for p in parts])[:-1])]
-    keep = [k for k, m in enumerate(marks) if any(m)]
-    return pa.table({BLOCK: table[BLOCK].take(pa.array(keep, "int64")).cast("int32"), "range": table["range"].take(pa.array(keep, "int64")).cast("int32"), "seen": pa.array([marks[k] for k in keep], "binary")})
+@dataclass
+class _References:
+    """Texts of words with the hashes of the words and, ascending, those of the windows with their places."""
+
+    words: list[list[bytes]]
+    hashes: np.ndarray
+    starts: np.ndarray  # of the texts among all words
+    ends: np.ndarray
+    index: np.ndarray
+    first: np.ndarray  # place of the first window with a hash
+    text: np.ndarray  # text of that window
 
 
-def factors(found: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """The factors of a document as (first word, words): runs of places where a window is found."""
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], found.astype(np.int8), [0]))))
-    return [(a, z - a + window - 1) for a, z in edges.reshape(-1, 2).tolist()]
+def _references(words, sizes, hashes, window: int) -> tuple[_References, tuple]:
+    at, document, mixed = windows(sizes, hashes, window)
+    index, first, place = np.unique(mixed, return_index=True, return_inverse=True)
+    ends = np.cumsum(sizes)
+    return _References(words, hashes, ends - sizes, ends, index, at[first], document[first]), (at, document, mixed, place)
+
 
+def _copied(own: list[bytes], hashes: np.ndarray, start: int, place: int, refs: _References, text: int, at: int) -> int:
+    """How many words from `place` of a document equal those from `at` of a reference text, compared as words."""
+    room = min(len(own) - place, int(refs.ends[text]) - at)
+    differ = np.flatnonzero(hashes[start + place : start + place + room] != refs.hashes[at : at + room])
+    size = int(differ[0]) if len(differ) else room
+    other, offset = refs.words[text], at - int(refs.starts[text])
+    if own[place : place + size] == other[offset : offset + size]:
+        return size
+    return next(k for k in range(size) if own[place + k] != other[offset + k])
 
-def _parse(docs: pa.Table, answers: pa.Table, window: int, ranges: int):
+
+def factors(own: list[bytes], hashes: np.ndarray, start: int, found: list[int], sources, window: int) -> list[tuple[int, int]]:
+    """The factors of a document as (first word, words): greedy copies from references.
+
+    `found` are the places of its windows that a reference may have, ascending, and `sources`
+    gives for a place the (references, text, word) to copy from. A place inside a factor is
+    tried again only if its window reaches across the factor's end.
+    """
+    out, inside = [], -1
+    for place in found:
+        if place + window <= inside:
+            continue
+        size = max((_copied(own, hashes, start, place, *s) for s in sources(place)), default=0)
+        if size >= window:
+            out.append((place, size))
+            inside = place + size
+    return out
+
+
+def _parse(docs: pa.Table, answers: pa.Table, window: int):
     """For each document of a block: row, words, which of them repeats cover, and the factors."""
     ids, texts, order = _text_rows(docs)
     words, sizes, hashes = word_hashes(texts)
-    at, document, mixed = windows(sizes, hashes, window)
-    index, place = np.unique(mixed, return_inverse=True)
-    seen = np.zeros(len(index), bool)
-    borders = np.concatenate(([0], np.searchsorted(index, _borders(ranges)), [len(index)]))
-    for k, bits in zip(answers["range"].to_pylist(), answers["seen"].to_pylist(), strict=True):
-        a, z = borders[k], borders[k + 1]
-        seen[a:z] = np.unpackbits(np.frombuffer(bits, np.uint8), count=z - a).astype(bool)
-    first = np.full(len(index), np.iinfo(np.int64).max)
-    np.minimum.at(first, place, ids[document])
-    repeated = np.zeros(len(hashes), bool)
-    repeated[at] = seen[place] | (first[place] < ids[document])
-    # A word is covered if one of the last `window` places starts such a window.
-    sums = np.concatenate(([0], np.cumsum(repeated)))
-    n = np.arange(len(hashes))
-    covered = sums[n + 1] > sums[np.maximum(n + 1 - window, 0)]
-    start = 0
-    for own, size, row in zip(words, sizes.tolist(), order.tolist(), strict=True):
-        stop = start + size
-        yield row, own, covered[start:stop], factors(repeated[start:stop], window)
-        start = stop
+    own, (at, document, mixed, place) = _references(words, sizes, hashes, window)
+    passages, passage_sizes, passage_hashes = word_hashes([p or b"" for p in answers["passage"].to_pylist()])
+    other, _ = _references(passages, passage_sizes, passage_hashes, window)
+    # The own block is a reference where a document with a smaller id has the window.
+    least = np.full(len(own.index), np.iinfo(np.int64).max)
+    np.minimum.at(least, place, ids[document])
+    in_own = least[place] < ids[document]
+    slot = np.searchsorted(other.index, mixed)
+    in_other = other.index[np.minimum(slot, len(other.index) - 1)] == mixed if len(other.index) else np.zeros(len(mixed), bool)
+    found = np.flatnonzero(in_own | in_other)
+    by_document = np.searchsorted(document[found], np.arange(len(sizes) + 1))
+    for k, (mine, row) in enumerate(zip(words, order.tolist(), strict=True)):
+        start = int(own.starts[k])
+        here = found[by_document[k] : by_document[k + 1]]
+        entry = dict(zip((at[here] - start).tolist(), here.tolist(), strict=True))
+
+        def sources(p, entry=entry):
+            e = entry[p]
+            if in_own[e]:
+                first = place[e]
+                yield own, int(own.text[first]), int(own.first[first])
+            if in_other[e]:
+                yield other, int(other.text[slot[e]]), int(other.first[slot[e]])
+
+        spans = factors(mine, hashes, start, list(entry), sources, window)
+        gone = np.zeros(len(mine), bool)
+        for a, n in spans:
+            gone[a : a + n] = True
+        yield row, mine, gone, spans
 
 
 def _kept(words: list[bytes], gone: np.ndarray) -> bytes:
     return b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
 
 
-def _reporter(window: int, ranges: int, digest: bool):
+def _reporter(window: int, digest: bool):
     """Cogroup function: one row per document, with what is left of it."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         out = {"doc_id": [], "n_words": [], "n_removed": [], "kept": [], "factors": []}
         doc_ids = docs["doc_id"].to_pylist()
-        for row, words, gone, spans in _parse(docs, answers, window, ranges) if doc_ids else ():
+        for row, words, gone, spans in _parse(docs, answers, window) if doc_ids else ():
             kept = _kept(words, gone)
             values = doc_ids[row], len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest() if digest else kept.decode(), spans
             for column, value in zip(out.values(), values, strict=True):
@@ -153,12 +247,12 @@ def _reporter(window: int, ranges: int, digest: bool):
     return run
 
 
-def _rewriter(window: int, ranges: int, columns: list[str]):
+def _rewriter(window: int, columns: list[str]):
     """Cogroup function: the documents with their repeats cut out of the texts."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         text, rows = docs["text"].to_pylist(), []
-        for row, words, gone, _ in _parse(docs, answers, window, ranges) if docs.num_rows else ():
+        for row, words, gone, _ in _parse(docs, answers, window) if docs.num_rows else ():
             if gone.any():
                 text[row] = _kept(words, gone).decode()
             if not len(words) or not gone.all():
@@ -175,32 +269,40 @@ def _constant(values: list, kind: str):
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>") if values else F.array().cast(f"array<{kind}>")
 
 
-def _block(doc_id, borders: list[int]):
-    """How many of the sorted borders are below the id; the last block for null.
+def _block(doc_id, text, borders: list[int], blocks: int):
+    """How many of the sorted borders are below the id.
 
-    The borders are looked up in two steps, so a row costs the square root of their number.
+    Rows without an id come after all others and are no references for each other, so they are
+    dealt over as many further blocks, by their text. The borders are looked up in two steps, so
+    a row costs the square root of their number.
     """
     step = math.isqrt(len(borders)) + 1
     below = lambda b: b < doc_id
     group = F.size(F.filter(_constant(borders[step::step], "bigint"), below))
     place = group * step + F.size(F.filter(F.slice(_constant(borders, "bigint"), group * step + 1, step), below))
-    return F.when(doc_id.isNull(), F.lit(len(borders))).otherwise(place).cast("int")
+    return F.when(doc_id.isNull(), len(borders) + 1 + F.pmod(F.xxhash64(text), F.lit(blocks))).otherwise(place).cast("int")
 
 
 def _run(docs: DataFrame, window: int, block_bytes: int, range_windows: int, parser, kinds) -> DataFrame:
-    """Blocks, index, comparison of the index by hash ranges, and the parser with its answers."""
+    """Blocks, index, the questions that hash ranges find, their answers, and the parser with them."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, ranges = max(1, -(-size // block_bytes)), max(1, size // (6 * range_windows))
     borders = []
     if blocks > 1:
+        # A row for each few KB of text, so that blocks are equal in bytes and not in documents.
+        pages = F.sequence(F.lit(0), (F.coalesce(F.octet_length("text"), F.lit(0)) / SAMPLE_BYTES).cast("int"))
         shares = _constant([k / blocks for k in range(1, blocks)], "double")
-        found = docs.agg(F.percentile_approx("doc_id", shares, F.lit(100 * blocks))).first()[0]
+        found = docs.select("doc_id", F.explode(pages)).agg(F.percentile_approx("doc_id", shares, F.lit(100 * blocks))).first()[0]
         borders = sorted(set(found or []))
-    # Both the index and the parser take whole rows, so they share one shuffle of the texts.
-    blocked = docs.withColumn(BLOCK, _block(F.col("doc_id"), borders))
-    index = blocked.groupBy(BLOCK).applyInArrow(_indexer(window, ranges), f"range int, {BLOCK} int, hashes binary")
-    answers = index.groupBy("range").applyInArrow(_seen_before, f"{BLOCK} int, range int, seen binary")
-    return blocked.groupBy(BLOCK).cogroup(answers.groupBy(BLOCK)).applyInArrow(parser(ranges), kinds)
+    block = "_block"
+    while block in docs.columns:
+        block += "_"
+    # Index, answers and parser take whole rows, so they share one shuffle of the texts.
+    blocked = docs.withColumn(block, _block(F.col("doc_id"), F.col("text"), borders, blocks))
+    index = blocked.groupBy(block).applyInArrow(_indexer(window, ranges, block), "range int, asker int, hashes binary")
+    asked = index.groupBy("range").applyInArrow(_asker(len(borders), block), f"{block} int, asker int, hashes binary")
+    answers = blocked.groupBy(block).cogroup(asked.groupBy(block)).applyInArrow(_answerer(window, block), f"{block} int, passage binary")
+    return blocked.groupBy(block).cogroup(answers.groupBy(block)).applyInArrow(parser, kinds)
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, digest: bool = False, block_bytes: int = BLOCK_BYTES, range_windows: int = RANGE_WINDOWS) -> DataFrame:
@@ -209,23 +311,22 @@ def remove_repeats(docs: DataFrame, window: int = 13, digest: bool = False, bloc
     Each word is removed that a window of `window` words covers whose words also start in a
     document with a smaller doc_id. `kept` has the other words, joined by one blank; with
     `digest` it is their SHA-256 instead, and there are no factors. `factors` lists
-    the repeats as (start, words). Windows are judged on the input as it is.
+    the copies as (start, words). Windows are judged on the input as it is.
 
     A null text has no words. A null doc_id counts as larger than all others. Rows that share
     a doc_id, repeated rows too, don't make each other's words repeats. Texts of any length
-    stay whole. An empty table gives an empty result. Other columns are not read. Windows are
-    equal if their 64-bit hashes are.
+    stay whole. An empty table gives an empty result. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kinds = "doc_id long, n_words long, n_removed long, "
     kinds += "kept_sha256 string" if digest else "kept string, factors array<struct<start: long, words: long>>"
-    return _run(docs, window, block_bytes, range_windows, lambda ranges: _reporter(window, ranges, digest), kinds)
+    return _run(docs, window, block_bytes, range_windows, _reporter(window, digest), kinds)
 
 
 def without_repeats(docs: DataFrame, window: int = 13, block_bytes: int = BLOCK_BYTES, range_windows: int = RANGE_WINDOWS) -> DataFrame:
     """The documents with all their columns, the repeats that `remove_repeats` finds cut out.
 
     A text without repeats stays as it is. One with repeats becomes its other words, joined
-    by one blank; a document of which nothing is left goes.
+    by one blank; a document of which nothing is left goes. Other columns may have any names.
     """
-    return _run(docs, window, block_bytes, range_windows, lambda ranges: _rewriter(window, ranges, docs.columns), docs.schema)
+    return _run(docs, window, block_bytes, range_windows, _rewriter(window, docs.columns), docs.schema)
