@@ -10,6 +10,7 @@ comes from its most telling word.
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -32,8 +33,12 @@ CACHED_TOKENS = 300_000
 #: What characters may stand for besides themselves; a choice of this method.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 FILLERS = "*._-'~#%&"
-#: Log probabilities of the channel: a character as it is, a stand-in, a filler, a repeated letter, a doubled one, a space.
-PLAIN, STAND_IN, FILLER, REPEATED, DOUBLED, SPACE = 0.0, -1.0, -0.5, -0.5, -6.0, -0.5
+#: Fillers that may also hide a letter, up to so many in a row.
+MASKS, MASKED_LETTERS = "*#", 3
+#: Latin letters that letters of other scripts look like.
+LOOK_ALIKES = str.maketrans("аеорсухіјѕԁһԛԝ", "aeopcyxijsdhqw")
+#: Log probabilities of the channel: a character as it is, a stand-in, a filler, a repeated letter, a doubled one, a space, a hidden letter.
+PLAIN, STAND_IN, FILLER, REPEATED, DOUBLED, SPACE, HIDDEN = 0.0, -1.0, -0.5, -0.5, -6.0, -2.0, -3.0
 EDGES = ".,;:!?()[]{}\"'|"
 
 #: Letters set apart, or symbols that stand for them; white space or punctuation borders the run.
@@ -42,6 +47,7 @@ BETWEEN = re.compile(r"[ ._*-]")
 DOUBLE = re.compile(r"(.)\1").search
 RUNS = re.compile(r"(.)\1*", re.DOTALL)
 DISGUISED = re.compile(r"[^\W\d_]").search
+LATIN = re.compile("[a-z]").search
 #: Without a letter, a token of stand-ins is a disguised word unless it reads as a number or price.
 SYMBOLS = re.compile(r"[@$!|+€]").search
 NUMBER = re.compile(r"[+$€]?[\d.,:/%-]*[$€+%]?").fullmatch
@@ -92,6 +98,12 @@ def character_counts(docs: DataFrame) -> np.ndarray:
     return out.reshape(SIZE, SIZE, SIZE)
 
 
+def latin(token: str) -> str:
+    """A token in lower case, with wide and styled letters as plain ones and, among Latin ones, look-alikes as Latin."""
+    token = unicodedata.normalize("NFKC", token).lower()
+    return token.translate(LOOK_ALIKES) if LATIN(token) else token
+
+
 class Channel:
     """Restores disguised tokens under a character model."""
 
@@ -106,13 +118,17 @@ class Channel:
     def options(self, token: str) -> list[list[tuple[str, float]]]:
         """For each run of equal characters what it may stand for, with the channel's log probability."""
         out = []
+        lettered = bool(DISGUISED(token))
         for run in RUNS.finditer(token):
             c, n = run[1], len(run[0])
+            if c in MASKS and n <= MASKED_LETTERS:
+                out += [[("", FILLER), *((letter, HIDDEN) for letter in "abcdefghijklmnopqrstuvwxyz")]] * n
+                continue
             if c.isalpha():
                 kinds = [(c, PLAIN)] if n == 1 else [(c * 2, PLAIN), (c, DOUBLED)] if n == 2 else [(c, REPEATED), (c * 2, REPEATED)]
             elif c in LEET:
                 kinds = [(s * k, STAND_IN * n) for s in LEET[c] for k in {1, min(n, 2)}]
-                if c in "!|+$":
+                if c in "!|+$" and lettered:  # else symbols are all that the word has
                     kinds.append(("", FILLER * n))
             elif c in FILLERS or c == " ":
                 kinds = [("", FILLER * n)]
@@ -151,17 +167,17 @@ class Channel:
 
     def restore(self, token: str) -> str:
         """The restoration of a token without white space, in lower case."""
-        plain = token.strip(EDGES).lower()
+        token = token.lower() if token.isascii() else latin(token)
+        plain = token.strip(EDGES)
         if plain.isalpha() and not DOUBLE(plain):
             return plain
-        token = token.lower()
         if not readable(plain):
             return plain
         return self.decode(plain if plain and not any(c in LEET for c in token[len(token.rstrip(EDGES)) :]) else token)
 
     def parts(self, text: str) -> tuple[list[str], list[str]]:
         """(tokens, restored runs of spaced letters) of a text."""
-        letters = [BETWEEN.sub("", m.lower()) for m in SPACED.findall(text)]
+        letters = [BETWEEN.sub("", latin(m)) for m in SPACED.findall(text)]
         runs = [self.decode(m, spaced=True) for m in letters if readable(m)]
         return text.split(), runs
 
