@@ -496,7 +496,7 @@ ORACLES["meta_flatten"] = (
     + f"SELECT {_CLEAN} FROM flat JOIN labels USING (account_id)"
 )
 ORACLES["payload_error_split"] = f"""SELECT advertiser_id, code,
-    CASE code WHEN 0 THEN 'OK' ELSE 'limit reached' END AS message, code = 0 AS ok, 3 AS n
+    CASE code WHEN 0 THEN 'OK' ELSE 'limit reached' END AS message, code = 0 AS ok, 4 AS n
     FROM ({as_sql(proxies.ADGROUPS)})"""
 
 # --- aggregates ----------------------------------------------------------------
