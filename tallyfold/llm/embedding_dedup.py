@@ -8,7 +8,8 @@ vector's list is enlarged to its whole class, the vectors that threshold edges c
 compared block by block. Saturated vectors then look for neighbours outside their class, and
 classes that meet are joined, until none do. Recall is audited against brute force for a
 bounded number of vectors; below the asked recall, further trees and rounds with lists of
-twice the length follow. What stays below it is warned of. Threshold edges remain.
+twice the length follow. What stays below it is warned of, or an error where too much is missing.
+Threshold edges remain.
 """
 
 import copy
@@ -30,9 +31,10 @@ TREES = 6
 LEAF = 64
 MEETING = 256
 ROUNDS = 2
-#: Vectors that the audit compares with all others, the recall it asks for, and further attempts.
+#: Vectors that the audit compares with all others, the recall it asks for, the least it bears, and further attempts.
 AUDITED = 400
 RECALL = 0.97
+LEAST_RECALL = 0.9
 ATTEMPTS = 2
 
 LIST = "u long, v long, sim double"
@@ -259,6 +261,10 @@ def audit(vectors: Vectors, links: DataFrame, threshold: float, count: int = AUD
     return found[1] / found[0] if found[0] else 1.0
 
 
+class LowRecall(RuntimeError):
+    """The neighbour graph lacks too many links for its classes to be of use."""
+
+
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.98, neighbours: int = NEIGHBOURS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every vector.
 
@@ -267,7 +273,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.98, neighbours:
     vector. Vectors that are null, empty, zero or hold null or non-finite components link with
     nothing, nor do those without a label or a vec_id; nor vectors of different lengths. A
     repeated row counts as one more vector; rows that share a vec_id and differ should not be.
-    An empty table gives an empty result.
+    An empty table gives an empty result. If the audit still finds less than `LEAST_RECALL` of
+    the links after all attempts, that is an error.
     """
     asked = embeddings.select("vec_id", "label", "embedding")
     vectors = Vectors(asked)
@@ -281,6 +288,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.98, neighbours:
         if recall >= RECALL:
             break
         if attempt == ATTEMPTS:
+            if recall < LEAST_RECALL:
+                raise LowRecall(f"only {recall:.3f} of the audited links were found after {ATTEMPTS + 1} attempts")
             warnings.warn(f"{recall:.3f} of the audited links were found, less than {RECALL}", RuntimeWarning, stacklevel=2)
             break
         trees, neighbours = [t + TREES for t in trees], 2 * neighbours

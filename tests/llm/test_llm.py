@@ -602,6 +602,19 @@ def test_tight_groups_meet(spark, monkeypatch):
 # 9: substrings
 
 
+def test_low_recall_is_an_error(spark, monkeypatch):
+    rows = [(k, 1, [1.0, k / 100]) for k in range(20)]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    monkeypatch.setattr(embedding_dedup, "ATTEMPTS", 0)
+    monkeypatch.setattr(embedding_dedup, "ROUNDS", 1)
+    monkeypatch.setattr(embedding_dedup, "audit", lambda *a: 0.95)
+    with pytest.warns(RuntimeWarning, match="0.950"):
+        assert embedding_dedup.near_duplicates(frame).count() == 20
+    monkeypatch.setattr(embedding_dedup, "audit", lambda *a: 0.5)
+    with pytest.raises(embedding_dedup.LowRecall):
+        embedding_dedup.near_duplicates(frame)
+
+
 def plain_repeats(texts, window=13):
     first = {}
     order = lambda d: float("inf") if d is None else d
