@@ -9,7 +9,6 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
-import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
