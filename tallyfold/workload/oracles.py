@@ -5,7 +5,6 @@ membership tests instead of one aggregation, ranked rows instead of max of a
 struct, a stated code table instead of the shortening rule.
 """
 
-from tallyfold import fixed_values as fv
 from tallyfold.workload import proxies
 from tallyfold.workload.proxies import as_sql, item, products_sql, quoted
 
