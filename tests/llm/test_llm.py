@@ -807,12 +807,11 @@ CLASHING = ["first_id", "first_key", "repeated", "root", "mark", "_mark", "_text
 
 
 @pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
-@pytest.mark.parametrize("counted", [True, False])
-def test_stages_keep_columns_of_any_name(spark, docs, stage, counted):
+def test_stages_keep_columns_of_any_name(spark, docs, stage):
+    """Also without `n_chars`, which the whole pipeline's test has."""
     run = dict(corpus_pipeline.STAGES)[stage]
     own = docs.unionAll(docs.where("doc_id < 5")).unionAll(docs.where("doc_id < 3").withColumn("doc_id", F.lit(None).cast("long")))
-    if not counted:
-        own = own.drop("n_chars")
+    own = own.drop("n_chars")
     more = own.select("*", *(F.concat(F.lit(f"{name} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(name) for name in CLASHING))
     plain, got = run(spark, own, SF), run(spark, more, SF)
     if stage == "packed":
