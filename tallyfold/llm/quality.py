@@ -10,17 +10,14 @@ as there are buckets, and a document is scored where it is read, without a shuff
 """
 
 import math
-from bisect import bisect_left
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import cut, words_of
 
 BUCKETS = 1 << 15
-#: Labelled documents, of each label, that the threshold is fitted on, at most.
-FITTED_DOCS = 5000
 #: Ids of trusted documents that are sent to all tasks; more of them are joined by a shuffle of the texts.
 BROADCAST_IDS = 1_000_000
 MIN_WORDS = 10
@@ -128,49 +125,56 @@ def _counts(docs: DataFrame, labels: DataFrame, count: int) -> tuple[list[int],
     return [found.get(k, nothing)[0] for k in range(count)], [found.get(k, nothing)[1] for k in range(count)]
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(text, quality) of the documents for the threshold: those with the least hashes, `rows` of each label at most.
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, quality) of all documents for the threshold; one with both labels counts for each."""
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (_half(F.col("doc_id")) == 1))
+    known = known.select("doc_id", "quality").distinct()
+    if known.count() <= BROADCAST_IDS:
+        known = F.broadcast(known)
+    return docs.select("doc_id", "text").join(known, "doc_id").select("text", "quality")
 
-    It is cut off, or Spark would move the filters on the counts of a text below the join.
-    """
-    picked = None
-    for quality in (0, 1):
-        own = labels.where((F.col("quality") == quality) & F.col("doc_id").isNotNull() & (_half(F.col("doc_id")) == 1))
-        own = own.select("doc_id", "quality").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-        picked = own if picked is None else picked.unionAll(own)
-    return cut(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "quality"))
-
-
-def _best_cut(good: list[float], bad: list[float]) -> float:
-    """The score that separates best: fewest errors as shares of their label; of equals the lowest."""
-    good, bad = sorted(good), sorted(bad)
-    if not good or not bad:
-        return -math.inf
-    candidates = sorted({*good, *bad})
-    lost = lambda t: bisect_left(good, t) / len(good) + 1 - bisect_left(bad, t) / len(bad)
-    best = min(candidates, key=lost)
-    below = [b for b in bad if b < best]
-    return (best + below[-1]) / 2 if below else best
 
+def _best_cut(scores: DataFrame) -> float:
+    """The score that separates best: fewest errors as shares of their label; of equals the lowest.
 
-def fit(docs: DataFrame, labels: DataFrame, count: int = BUCKETS, rows: int = FITTED_DOCS) -> Model:
-    """Counts over all documents and over all trusted ones, and a threshold from a bounded sample.
+    `scores` has (quality, score). Equal scores are counted together, and ranges of scores are
+    added up side by side, so neither a task nor the driver gets them all.
+    """
+    counted = scores.groupBy("score").agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"))
+    ranged = cut(counted.repartitionByRange("score").withColumn("part", F.spark_partition_id()))
+    parts = ranged.groupBy("part").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).orderBy("part").collect()
+    all_good, all_bad = sum(r.good for r in parts), sum(r.bad for r in parts)
+    if not all_good or not all_bad:
+        return -math.inf
+    before, good, bad = [], 0, 0
+    for r in parts:
+        before.append((r.part, good, bad))
+        good, bad = good + r.good, bad + r.bad
+    offsets = F.broadcast(scores.sparkSession.createDataFrame(before, "part int, good_before long, bad_before long"))
+    own = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    below = lambda name: F.col(f"{name}_before") + F.coalesce(F.sum(name).over(own), F.lit(0))
+    lost = below("good") / F.lit(all_good) + 1 - below("bad") / F.lit(all_bad)
+    best = ranged.join(offsets, "part").select("score", lost.alias("lost")).orderBy("lost", "score").first().score
+    under = ranged.where((F.col("bad") > 0) & (F.col("score") < best)).agg(F.max("score")).first()[0]
+    return best if under is None else (best + under) / 2
+
+
+def fit(docs: DataFrame, labels: DataFrame, count: int = BUCKETS) -> Model:
+    """Counts over all documents and over all trusted ones, and a threshold from all that are kept for it.
 
     Trusted documents are those of quality 1 in one half of the labelled ones, by a hash of
     their id. The threshold is the score that best tells documents of quality 1 from those of
-    quality 0 among those of the other half that pass the base rules, `rows` of each label at
-    most. Without documents of both labels, nothing is rejected by score.
+    quality 0 among all those of the other half that pass the base rules: a score learned from a
+    document would flatter it. Without documents of both labels, nothing is rejected by score.
     """
-    sample = _labelled(docs, labels, rows)
     corpus, trusted = _counts(docs, labels, count)
     share = lambda c, total: [math.log((n + 1) / (total + count)) for n in c]
     ratios = [t - c for t, c in zip(share(trusted, sum(trusted)), share(corpus, sum(corpus)), strict=True)] if any(trusted) else [0.0] * count
     model = Model(ratios, -math.inf)
-    passed = base_counts(sample).where("NOT base_failed")
-    scores: dict[int, list[float]] = {0: [], 1: []}
-    for quality, score in passed.select("quality", model.score(F.col("_words"))).collect():
-        scores[quality].append(score)
-    model.threshold = _best_cut(scores[1], scores[0])
+    # Behind a generator, or Spark would move the filter on the counts of a text below the join.
+    score = F.when(~F.col("base_failed"), model.score(F.col("_words")))
+    judged = base_counts(_labelled(docs, labels)).select("quality", F.explode(F.array(score)).alias("score"))
+    model.threshold = _best_cut(judged.where("score IS NOT NULL"))
     return model
 
 

@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -279,6 +280,28 @@ def test_quality_without_labels_rejects_nothing_by_score(docs, labels):
     assert quality.judge(docs, model).where("kept = base_failed").count() == 0
 
 
+def test_threshold_comes_from_all_scores(spark):
+    rng = np.random.default_rng(4)
+    for n in (1, 7, 400):
+        scores = [(int(q), round(float(rng.normal(q, 0.8)), 2)) for q in rng.integers(0, 2, n)]
+        good, bad = ([s for q, s in scores if q == k] for k in (1, 0))
+        want = -np.inf
+        if good and bad:
+            lost = lambda t: sum(s < t for s in good) / len(good) + 1 - sum(s < t for s in bad) / len(bad)
+            best = min(sorted({*good, *bad}), key=lost)
+            want = (best + max(s for s in bad if s < best)) / 2 if min(bad) < best else best
+        frame = spark.createDataFrame(scores, "quality int, score double")
+        assert quality._best_cut(frame.repartition(3)) == pytest.approx(want)
+
+
+def test_threshold_reads_all_labelled_documents(spark):
+    # The documents with the least hashes of their half tell other than all of them do.
+    ids = spark.range(24_000).where(quality._half(F.col("id")) == 1).select("id", F.row_number().over(Window.orderBy(F.xxhash64("id"))).alias("place"))
+    docs = ids.select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id")).alias("text"))
+    labels = ids.select(F.col("id").alias("doc_id"), (F.col("place") % 2).cast("int").alias("quality"))
+    assert quality._labelled(docs, labels).count() == docs.count() > 11_000
+
+
 # 5: packing
 
 
