@@ -6,7 +6,7 @@ that are assigned to or follow a word like "password" or stand before the @ of a
 credentials. How long a secret has to be is for the forest to say. Labelled findings train a
 random forest on length, character transitions, dictionary coverage, path and neighbouring words.
 The forest's trees become SQL expressions, so the whole scan consists of Spark's own functions
-and its only joins are to a dictionary of a fixed size.
+and it has no joins: the dictionary, of a bounded size, goes along as a table.
 """
 
 import math
@@ -43,8 +43,8 @@ PART = f"([{SEPARATORS}]*)([^{SEPARATORS}]+)"
 EDGE = "[.!#*$%]+$"
 #: Words of which no part is a candidate by its form: they have none of these.
 SUSPECT = "[0-9]|[a-z][A-Z]|[=:@]|.{20}"
-#: Runs of letters that are looked up in the dictionary.
-RUNS = 4
+#: Places of the dictionary's table; a place has a few words.
+PLACES = 1 << 14
 
 FEATURES = ["size", "digits", "capitals", "switches", "vowels", "hexadecimal", "transitions", "coverage", "example_path", "keyword", "assigned", "credential", "text_before", "text_after"]
 
@@ -118,6 +118,21 @@ def _transition_costs(known: DataFrame) -> list[float]:
     return table + [6.0] * 27
 
 
+def _lookup(known: DataFrame):
+    """A test whether words are in the dictionary, which becomes one literal that Spark folds.
+
+    A word is looked for at its place in a table, among the few others there, so a text may
+    look up as many as it has.
+    """
+    place = lambda w: F.pmod(F.xxhash64(w), F.lit(PLACES)).cast("int")
+    listed = known.groupBy(place(F.col("entry")).alias("place")).agg(F.concat_ws(" ", F.collect_list("entry")).alias("entries"))
+    table = [""] * PLACES
+    for r in listed.collect():
+        table[r.place] = f" {r.entries} "
+    entries = F.split(F.lit(",".join(table)), ",")
+    return lambda w: F.get(entries, place(w)).contains(F.concat(F.lit(" "), w, F.lit(" ")))
+
+
 def _with_features(rows: DataFrame, known: DataFrame, costs: list[float]) -> DataFrame:
     c, size = F.col("candidate"), F.length("candidate")
     share = lambda pattern: 1 - F.length(F.regexp_replace(c, pattern, "")) / size
@@ -128,12 +143,11 @@ def _with_features(rows: DataFrame, known: DataFrame, costs: list[float]) -> Dat
     mean = F.when(size > 1, F.aggregate(places, F.lit(0.0), lambda a, k: a + F.get(table, k)) / (size - 1)).otherwise(0.0)
     strip = lambda name: F.lower(F.regexp_replace(name, "[^\\p{L}]+", ""))
     runs = F.regexp_extract_all(F.lower("candidate"), F.lit("\\p{L}{3,}"), F.lit(0))
-    looked_up = {f"run_{k}": F.get("runs", k) for k in range(RUNS)} | {"left_word": strip("before"), "right_word": strip("after")}
-    entries = F.broadcast(known.select("entry"))  # as many rows as the dictionary has
-    joined = rows.withColumn("runs", runs).withColumns(looked_up)
-    for key in looked_up:
-        joined = joined.join(entries.select(F.col("entry").alias(f"known_{key}")), F.col(key) == F.col(f"known_{key}"), "left")
-    covered = [F.coalesce(F.length(f"known_run_{k}"), F.lit(0)) for k in range(RUNS)]
+    is_known = _lookup(known)
+    lengths = F.transform(F.concat(F.array(strip("before"), strip("after")), runs), lambda w: F.when(is_known(w), F.length(w)).otherwise(0))
+    # Behind a generator, past which no filter moves: the words are looked up once.
+    looked_up = rows.select("*", F.explode(F.array(lengths)).alias("known"))
+    covered = F.aggregate(F.slice("known", 3, F.size("known")), F.lit(0), lambda a, n: a + n)
     numbers = {
         "size": size,
         "digits": share("[0-9]"),
@@ -142,15 +156,15 @@ def _with_features(rows: DataFrame, known: DataFrame, costs: list[float]) -> Dat
         "vowels": share("(?i)[aeiouàáâäèéêëìíîïòóôöùúûü]"),
         "hexadecimal": c.rlike("^[0-9a-fA-F]+$"),
         "transitions": mean,
-        "coverage": sum(covered[1:], covered[0]) / size,
+        "coverage": covered / size,
         "example_path": F.col("path").rlike(EXAMPLE_PATH),
         "keyword": _by_keyword(),
         "assigned": _is_assigned(),
         "credential": F.col("credential"),
-        "text_before": F.col("known_left_word").isNotNull(),
-        "text_after": F.col("known_right_word").isNotNull(),
+        "text_before": F.get("known", F.lit(0)) > 0,
+        "text_after": F.get("known", F.lit(1)) > 0,
     }
-    return joined.withColumns({f"f_{k}": v.cast("double") for k, v in numbers.items()}).drop("runs", *looked_up, *(f"known_{key}" for key in looked_up))
+    return looked_up.withColumns({f"f_{k}": v.cast("double") for k, v in numbers.items()}).drop("known")
 
 
 def label_by_form(findings: DataFrame) -> DataFrame:

@@ -494,6 +494,16 @@ def test_secrets_of_any_length_and_place(docs, spark):
     assert masked[9005] == texts[9005] and masked[9006] == texts[9006]
 
 
+def test_coverage_counts_all_runs_of_letters(spark):
+    text = "alpha beta gamma delta epsilon " * 5 + "alpha x=alpha1beta2gamma3delta4epsilon5beta6zzzz"
+    own = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    known = secret_scan.dictionary(own)
+    found = secret_scan._with_features(secret_scan.candidates(own), known, secret_scan._transition_costs(known))
+    r = found.where("candidate LIKE 'alpha1%'").first()
+    assert r.f_coverage == pytest.approx(30 / len("alpha1beta2gamma3delta4epsilon5beta6zzzz"))
+    assert (r.f_text_before, r.f_text_after) == (1.0, 0.0)
+
+
 def test_planted_secrets_are_found(spark):
     """The labels of the training documents come from forms; the planted ones are judged by what was planted."""
     rng = random.Random(11)
