@@ -13,6 +13,7 @@ import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,11 @@ def readable(token: str) -> bool:
 #: Letters of the character model; all others share one code. Blank is the border of a word.
 ALPHABET = " abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýßœ"
 SIZE = len(ALPHABET) + 1
+#: What a filler that may hide a letter stands for: nothing or one of a-z, which have the codes 1 to 26.
+HIDES = [("", FILLER), *((letter, HIDDEN) for letter in ALPHABET[1:27])]
+HIDDEN_CODES = np.arange(1, 27)
+#: The first run of such fillers.
+MASKED = re.compile("|".join(f"(?<!{c}){c}{{1,{MASKED_LETTERS}}}(?!{c})" for c in map(re.escape, MASKS)))
 
 
 def letter_codes() -> np.ndarray:
@@ -104,6 +110,15 @@ def latin(token: str) -> str:
     return token.translate(LOOK_ALIKES) if LATIN(token) else token
 
 
+def _reading(chain) -> str:
+    """The text of a chain of parts, the last first."""
+    parts = []
+    while chain:
+        chain, text = chain
+        parts.append(text)
+    return "".join(reversed(parts))
+
+
 class Channel:
     """Restores disguised tokens under a character model."""
 
@@ -114,15 +129,19 @@ class Channel:
         three = (counts + 5 * two) / (counts.sum(axis=2, keepdims=True) + 5)
         self.log = np.log(three)
         self.code = {c: k for k, c in enumerate(ALPHABET)}
+        self.endings: dict = {}
+
+    def options(self, token: str, lettered: bool | None = None) -> list[list[tuple[str, float]]]:
+        """For each run of equal characters what it may stand for, with the channel's log probability.
 
-    def options(self, token: str) -> list[list[tuple[str, float]]]:
-        """For each run of equal characters what it may stand for, with the channel's log probability."""
+        `lettered`: the word has a letter, here or in another part of it.
+        """
         out = []
-        lettered = bool(DISGUISED(token))
+        lettered = bool(DISGUISED(token)) if lettered is None else lettered
         for run in RUNS.finditer(token):
             c, n = run[1], len(run[0])
             if c in MASKS and n <= MASKED_LETTERS:
-                out += [[("", FILLER), *((letter, HIDDEN) for letter in "abcdefghijklmnopqrstuvwxyz")]] * n
+                out += [HIDES] * n
                 continue
             if c.isalpha():
                 kinds = [(c, PLAIN)] if n == 1 else [(c * 2, PLAIN), (c, DOUBLED)] if n == 2 else [(c, REPEATED), (c * 2, REPEATED)]
@@ -140,11 +159,45 @@ class Channel:
     def decode(self, token: str, spaced: bool = False) -> str:
         """The likeliest reading of a token; `spaced`: of letters set apart, in which words may end anywhere."""
         paths: dict = {(0, 0): (0.0, None)}  # the reading as a chain of its parts, the last first
-        log, code, other = self.log, self.code, SIZE - 1
-        options = self.options(token)
+        masked = None if spaced else MASKED.search(token)
+        if masked:
+            head, tail, lettered = token[: masked.start()], token[masked.start() :], bool(DISGUISED(token))
+            paths = self._follow(paths, self.options(head, lettered))
+            if len(paths) == 1:  # what follows depends on the two letters before it alone
+                ((state, (_, chain)),) = paths.items()
+                return (_reading(chain) + self._ending(state, tail, lettered)).strip()
+            options = self.options(tail, lettered)
+        else:
+            options = self.options(token)
         if spaced:  # a symbol set apart is a letter; only the last may be punctuation
             options[:-1] = [[k for k in kinds if k[0]] for kinds in options[:-1]]
-        for kinds in [*options, [(" ", PLAIN)]]:
+        paths = self._follow(paths, [*options, [(" ", PLAIN)]], spaced)
+        return _reading(max(paths.values(), key=lambda p: p[0])[1]).strip()
+
+    def _ending(self, state: tuple[int, int], tail: str, lettered: bool) -> str:
+        """The likeliest reading of the rest of a token after two letters; those met are remembered."""
+        key = state, tail, lettered
+        if key not in self.endings:
+            if len(self.endings) > CACHED_TOKENS:
+                self.endings.clear()
+            paths = self._follow({state: (0.0, None)}, [*self.options(tail, lettered), [(" ", PLAIN)]])
+            self.endings[key] = _reading(max(paths.values(), key=lambda p: p[0])[1])
+        return self.endings[key]
+
+    def _follow(self, paths: dict, steps: list, spaced: bool = False) -> dict:
+        """The best path into each pair of last letters after some more steps; of equals the first."""
+        log, code, other = self.log, self.code, SIZE - 1
+        for kinds in steps:
+            if kinds is HIDES:
+                paths = self._unhide(paths)
+                continue
+            if len(paths) == 1 and len(kinds) == 1 and not spaced:  # no choice, so nothing to weigh
+                ((x, y), (score, done)) = next(iter(paths.items()))
+                text = kinds[0][0]
+                for c in text:
+                    x, y = y, code.get(c, other)
+                paths = {(x, y): (score, (done, text))}
+                continue
             new: dict = {}
             if spaced:
                 kinds = kinds + [(" " + text, cost + SPACE) for text, cost in kinds if text.strip()]
@@ -159,11 +212,25 @@ class Channel:
                     if known is None or total > known[0]:
                         new[x, y] = total, (done, text)
             paths = new
-        chain, parts = max(paths.values(), key=lambda p: p[0])[1], []
-        while chain:
-            chain, text = chain
-            parts.append(text)
-        return "".join(reversed(parts)).strip()
+        return paths
+
+    def _unhide(self, paths: dict) -> dict:
+        """A step over a filler that may hide a letter: the same as for other steps, all letters at once."""
+        x, y = np.array(list(paths)).T
+        scores, chains = (list(p) for p in zip(*paths.values(), strict=True))
+        scores = np.array(scores)
+        letters = (scores + HIDDEN)[:, None] + self.log[x[:, None], y[:, None], HIDDEN_CODES]
+        totals = np.column_stack([scores + FILLER, letters]).ravel()
+        into = np.column_stack([x * SIZE + y, y[:, None] * SIZE + HIDDEN_CODES]).ravel()
+        best = np.full(SIZE * SIZE, -np.inf)
+        np.maximum.at(best, into, totals)
+        wins = np.flatnonzero(totals == best[into])[::-1]  # written backwards, the first stays
+        winner, met = np.zeros(SIZE * SIZE, np.int64), np.full(SIZE * SIZE, len(into))
+        winner[into[wins]] = wins
+        met[into[::-1]] = np.arange(len(into))[::-1]
+        order = np.argsort(met, kind="stable")[: np.count_nonzero(met < len(into))]
+        found = zip(order.tolist(), winner[order].tolist(), totals[winner[order]].tolist(), strict=True)
+        return {divmod(k, SIZE): (total, (chains[w // len(HIDES)], HIDES[w % len(HIDES)][0])) for k, w, total in found}
 
     def restore(self, token: str) -> str:
         """The restoration of a token without white space, in lower case."""
@@ -200,10 +267,15 @@ class Model:
     offset: float = -3.0
     done: dict[str, float] = field(default_factory=dict)
 
+    @cached_property
+    def starts(self) -> set[str]:
+        """The first four characters of all words and beginnings that have a weight; other words have none."""
+        return {f[:4] for f in self.weights}
+
     def weight(self, token: str) -> float:
         """The weight of the most telling word that a token is restored to."""
-        known = self.weights.get
-        return max([known(f, 0.0) for w in self.channel.restore(token).split(" ") for f in features(w)], default=0.0)
+        known, starts = self.weights.get, self.starts
+        return max([known(f, 0.0) for w in self.channel.restore(token).split(" ") if w[:4] in starts for f in features(w)], default=0.0)
 
     def evidence(self, text: str) -> float:
         """The weight of the most telling word of a whole text; 0 without any."""
@@ -212,9 +284,8 @@ class Model:
             self.done.clear()
         done = self.done
         tokens = set(tokens)
-        for t in tokens:
-            if t not in done:
-                done[t] = self.weight(t)
+        for t in tokens.difference(done):
+            done[t] = self.weight(t)
         own = max(map(done.__getitem__, tokens), default=0.0)
         known = self.weights.get
         return max([own, *(known(f, 0.0) for r in runs for w in r.split(" ") for f in features(w))])

@@ -767,6 +767,31 @@ def test_disguises_give_whole_words():
         assert channel.restore(kept).strip("*") in (kept.strip("*#").lower(), kept.lower()), kept
 
 
+
+def test_weight_is_the_most_telling_feature():
+    model = toxicity.Model(toxicity.Channel(np.ones((toxicity.SIZE,) * 3)), {"abcde": 1.0, "abcd*": 2.0, "xyzwvu*": 3.0, "ab": 4.0, "ab*cd": 5.0})
+    for token in ("abcde", "abcdx", "abcd", "ab", "xyzwvut", "xyzwvu", "xyzwq", "zz", "a#cde", "", "Abcdef!"):
+        want = max([model.weights.get(f, 0.0) for w in model.channel.restore(token).split(" ") for f in toxicity.features(w)], default=0.0)
+        assert model.weight(token) == want
+
+
+def test_hidden_letters_are_found_at_once():
+    rng = np.random.default_rng(6)
+    channel = toxicity.Channel(rng.integers(0, 9, (toxicity.SIZE,) * 3).astype(float))
+    plain = list(toxicity.HIDES)  # no longer the marked step, so letter by letter
+    start = {(0, 0): (0.0, None)}
+    for word, steps in (("les", 3), ("a", 2), ("ss", 1)):
+        head = channel._follow(start, channel.options(word))
+        want, got = channel._follow(head, [plain] * steps), channel._follow(head, [toxicity.HIDES] * steps)
+        assert list(got.items()) == list(want.items())
+    # Words that end alike share one search, however many there are.
+    words = [a + b + "les***" for a in "abc" for b in "abc" if a != b]
+    for word in words:
+        whole = channel._follow(start, [*channel.options(word[:-3]), *[plain] * 3, [(" ", 0.0)]])
+        assert channel.decode(word) == toxicity._reading(max(whole.values(), key=lambda p: p[0])[1]).strip()
+    assert len(channel.endings) == 1
+
+
 def test_viterbi_finds_the_best_of_all_paths(docs):
     from itertools import product
 
