@@ -38,23 +38,13 @@ NULL_ID = -(1 << 63)
 MEMBER = "<qiqqq"  # a piece inside a bin
 
 
-def segments(text: str) -> list[str]:
-    """Parts whose ids, one after another, are those of the text: cut before each blank.
-
-    The vocabulary's pattern takes a blank together with the word after it, and never goes
-    from a word over into white space.
-    """
-    if BEFORE_BLANK(text):
-        return [text]
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + r for r in rest]
-
-
 class Ids:
-    """Encodes texts to little-endian 32-bit ids, remembering the segments it has met.
+    """Encodes texts to little-endian 32-bit ids, remembering the words it has met.
 
     The vocabulary comes from a byte-level tokenizer file whose ids follow the order of its
-    merges, so the ids are ranks; the ids are those of the tokenizers library.
+    merges, so the ids are ranks; the ids are those of the tokenizers library. Its pattern takes
+    a blank together with the word after it, and never goes from a word over into white space.
+    So the ids of the parts of a text that is cut before each blank are, one after another, its own.
     """
 
     def __init__(self, spec: str):
@@ -65,27 +55,36 @@ class Ids:
         byte = {s: b for b, s in byte_symbols().items()}
         ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
         self.encoding = tiktoken.Encoding("own", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
-        self.done: dict[str, bytes] = {}
+        self.after_blank = Known(self)
 
-    def _segment(self, text: str) -> bytes:
+    def segment(self, text: str) -> bytes:
         found = self.encoding.encode(text, allowed_special="all") if "<|" in text else self.encoding.encode_ordinary(text)
         return struct.pack(f"<{len(found)}I", *found)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.done) > CACHED_SEGMENTS:
-            self.done.clear()
-        split, known = [segments(t) for t in texts], self.done
-        long = []
-        for s in {s for parts in split for s in parts} - known.keys():
-            known[s] = self._segment(s)
-            if len(s) > 100:  # not a word
-                long.append(s)
-        out = [b"".join([known[s] for s in parts]) for parts in split]
-        for s in long:
-            del known[s]
+        if len(self.after_blank) > CACHED_SEGMENTS:
+            self.after_blank.clear()
+        ids_of, out = self.after_blank.__getitem__, []
+        for text in texts:
+            first, *rest = [text] if BEFORE_BLANK(text) else text.split(" ")
+            out.append(b"".join([self.segment(first) if first else b"", *map(ids_of, rest)]))
         return out
 
 
+class Known(dict):
+    """The ids of a blank and the word after it; what is too long for a word is not kept."""
+
+    def __init__(self, ids: Ids):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.ids.segment(" " + word)
+        if len(word) < 100:
+            self[word] = found
+        return found
+
+
 def pieces(docs: DataFrame, spec: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): the pieces of every document.
 

@@ -370,6 +370,15 @@ def test_best_fit_takes_the_fullest_bin():
     assert packing.best_fit([], 10) == []
 
 
+def test_only_words_are_remembered():
+    ids = packing.Ids(vocabulary(BYTE_BPE))
+    library = Tokenizer.from_str(vocabulary(BYTE_BPE))
+    texts = [" a  b", "a b a b", "x" * 150 + " " + "y" * 150, "", " ", "one\t two", "end <|endoftext|> a"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [list(struct.unpack(f"<{len(e) // 4}I", e)) for e in ids.encode(texts)] == want
+    assert set(ids.after_blank) == {"", "a", "b", "<|endoftext|>"}
+
+
 # 6: SimHash
 
 
