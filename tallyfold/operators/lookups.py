@@ -154,6 +154,10 @@ def first_label(rows: DataFrame, column, labels: dict[str, str], name) -> DataFr
 
 
 def label_accounts(rows: DataFrame, accounts: DataFrame, *on) -> DataFrame:
-    """Rows of the selected accounts, with the account's label as ad_account."""
+    """Rows of the selected accounts, with the account's label as ad_account.
+
+    The accounts, a declared table, go to the rows. Left to the estimates of their sizes, Spark
+    shuffles the rows by their few accounts, or sends all of them to every task.
+    """
     on = ["account_id", *on]
-    return rows.join(accounts.select(*on, "ad_account"), on)
+    return rows.join(F.broadcast(accounts.select(*on, "ad_account")), on)

@@ -2,8 +2,9 @@ import json
 
 import pytest
 
+from conftest import plan_of
 from tallyfold import fixed_values as fv
-from tallyfold.operators import spend_rows
+from tallyfold.operators import lookups, spend_rows
 from tallyfold.plans import ad_reports
 from tallyfold.sources import payloads
 from tallyfold.sources.accounts import accounts, select_accounts
@@ -226,3 +227,19 @@ def test_the_newest_fetch_wins(spark, tmp_path):
         payloads.read_pages(spark, insights, payloads.META_INSIGHTS, "account_id"), payloads.read_pages(spark, pages, payloads.META_ACCOUNT)
     )
     assert [r.currency for r in flat.collect()] == ["EUR"]
+
+
+def test_rows_stay_where_they_are_read_when_accounts_are_labelled(spark, rows):
+    flat = rows("account_id string, spend double", *[{"account_id": str(k % 3), "spend": 1.0 * k} for k in range(30)], {"spend": 1.0})
+    named = rows("account_id string, ad_account string", {"account_id": "1", "ad_account": "a"}, {"account_id": "2", "ad_account": "b"})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in ("-1", before):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            found = lookups.label_accounts(flat, named)
+            plan = plan_of(found)
+            assert "BuildRight" in plan and "hashpartitioning" not in plan
+            assert sorted({(r.account_id, r.ad_account) for r in found.collect()}) == [("1", "a"), ("2", "b")]
+            assert found.count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
