@@ -38,8 +38,10 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """How many words lie in a window of words that the text has twice or more."""
 
     def hashes(w):
-        places = F.sequence(F.lit(1), F.size(w) - (window - 1))
-        return F.when(F.size(w) > window, F.transform(places, lambda i: F.xxhash64(F.slice(w, i, window))))
+        # Each word is hashed once, not once for each window that it is in.
+        places = F.sequence(F.lit(0), F.size(w) - window)
+        windows = lambda h: F.transform(places, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(window)]))
+        return F.when(F.size(w) > window, let(F.transform(w, lambda x: F.xxhash64(x)), windows))
 
     def covered(found):
         # Sorted with their places, equal windows are neighbours.

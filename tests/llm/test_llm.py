@@ -801,6 +801,18 @@ def test_hidden_letters_are_found_at_once():
     assert len(channel.endings) == 1
 
 
+def test_windows_are_hashed_from_hashed_words(spark):
+    rng = np.random.default_rng(9)
+    texts = [[str(w) for w in rng.choice(list("abc"), int(n))] for n in rng.integers(0, 40, 60)] + [["a"] * n for n in range(12)]
+    table = spark.createDataFrame([(w,) for w in texts], "w array<string>")
+    found = table.select("w", quality.repeated_words(F.col("w")).alias("n"))
+    assert "slice(" not in found._jdf.queryExecution().toString()
+    for r in found.collect():
+        windows = [tuple(r.w[i : i + 5]) for i in range(len(r.w) - 4)]
+        covered = {i + k for i, x in enumerate(windows) if windows.count(x) > 1 for k in range(5)}
+        assert r.n == len(covered)
+
+
 def test_viterbi_finds_the_best_of_all_paths(docs):
     from itertools import product
 
