@@ -14,6 +14,7 @@ import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ PLAIN, STAND_IN, FILLER, REPEATED, DOUBLED, SPACE, HIDDEN = 0.0, -1.0, -0.5, -0.
 EDGES = ".,;:!?()[]{}\"'|"
 
 #: Letters set apart, or symbols that stand for them; white space or punctuation borders the run.
-SPACED = re.compile(r"(?<![^\s.,;:!?()\[\]{}\"'|])(?:[^\W_]|[@$!|+€])(?:[ ._*-](?:[^\W_]|[@$!|+€])){2,}(?![^\s.,;:!?()\[\]{}\"'|])")
+SPACED = re.compile(r"(?!_)[\w@$!|+€](?=[ ._*-])(?<![^\s.,;:!?()\[\]{}\"'|].)(?:[ ._*-](?!_)[\w@$!|+€]){2,}(?![^\s.,;:!?()\[\]{}\"'|])")
 BETWEEN = re.compile(r"[ ._*-]")
 DOUBLE = re.compile(r"(.)\1").search
 RUNS = re.compile(r"(.)\1*", re.DOTALL)
@@ -67,6 +68,9 @@ HIDES = [("", FILLER), *((letter, HIDDEN) for letter in ALPHABET[1:27])]
 HIDDEN_CODES = np.arange(1, 27)
 #: The first run of such fillers.
 MASKED = re.compile("|".join(f"(?<!{c}){c}{{1,{MASKED_LETTERS}}}(?!{c})" for c in map(re.escape, MASKS)))
+#: In a word of letters, from a run of equal ones to the first two single letters in a row: these
+#: are the same in all readings, so none depends on what lies beyond. Without them it is still open.
+CHOICES = re.compile(r"(.)\1+(?:(.)\2+|(.)(?!\3)(?=(.)\4))*(?:(.)(?!\5)(.)(?!\6))?", re.DOTALL)
 
 
 def letter_codes() -> np.ndarray:
@@ -158,29 +162,49 @@ class Channel:
 
     def decode(self, token: str, spaced: bool = False) -> str:
         """The likeliest reading of a token; `spaced`: of letters set apart, in which words may end anywhere."""
-        paths: dict = {(0, 0): (0.0, None)}  # the reading as a chain of its parts, the last first
-        masked = None if spaced else MASKED.search(token)
-        if masked:
-            head, tail, lettered = token[: masked.start()], token[masked.start() :], bool(DISGUISED(token))
-            paths = self._follow(paths, self.options(head, lettered))
-            if len(paths) == 1:  # what follows depends on the two letters before it alone
-                ((state, (_, chain)),) = paths.items()
-                return (_reading(chain) + self._ending(state, tail, lettered)).strip()
-            options = self.options(tail, lettered)
-        else:
+        if spaced:
             options = self.options(token)
-        if spaced:  # a symbol set apart is a letter; only the last may be punctuation
+            # A symbol set apart is a letter; only the last may be punctuation.
             options[:-1] = [[k for k in kinds if k[0]] for kinds in options[:-1]]
-        paths = self._follow(paths, [*options, [(" ", PLAIN)]], spaced)
-        return _reading(max(paths.values(), key=lambda p: p[0])[1]).strip()
-
-    def _ending(self, state: tuple[int, int], tail: str, lettered: bool) -> str:
-        """The likeliest reading of the rest of a token after two letters; those met are remembered."""
-        key = state, tail, lettered
+            paths = self._follow({(0, 0): (0.0, None)}, [*options, [(" ", PLAIN)]], spaced)
+            return _reading(max(paths.values(), key=lambda p: p[0])[1]).strip()
+        head = token if token.isalpha() else token[: next(k for k, c in enumerate(token) if not c.isalpha())]
+        lettered, done, at = bool(head) or bool(DISGUISED(token)), "", 0
+        for window in CHOICES.finditer(head):
+            done += head[at : window.start()]
+            at = window.start()
+            if window[5] is None:  # it is still open where the letters end
+                break
+            done += self._part(self._state(done), window[0], True, False)
+            at = window.end()
+        else:
+            if head is token:
+                return done + head[at:]
+            done, at = done + head[at:], len(head)
+            masked = MASKED.search(token, at)
+            if masked and masked.start() > at:
+                paths = self._follow({self._state(done): (0.0, None)}, self.options(token[at : masked.start()], lettered))
+                if len(paths) == 1:
+                    done, at = done + _reading(next(iter(paths.values()))[1]), masked.start()
+        return (done + (self._part(self._state(done), token[at:], lettered, True) if at < len(token) else "")).strip()
+
+    def _state(self, done: str) -> tuple[int, int]:
+        """The codes of the last two letters."""
+        x, y = (" " + done)[-2:] if done else "  "
+        return self.code.get(x, SIZE - 1), self.code.get(y, SIZE - 1)
+
+    def _part(self, state: tuple[int, int], part: str, lettered: bool, last: bool) -> str:
+        """The likeliest reading of a part of a token after two letters; those met are remembered.
+
+        What follows a part that is not the last, and what comes before the two letters, has no say in it.
+        """
+        if part[0] in MASKS and part == part[0] * len(part):
+            part = MASKS[0] * len(part)  # all of them hide alike
+        key = state, part, lettered, last
         if key not in self.endings:
             if len(self.endings) > CACHED_TOKENS:
                 self.endings.clear()
-            paths = self._follow({state: (0.0, None)}, [*self.options(tail, lettered), [(" ", PLAIN)]])
+            paths = self._follow({state: (0.0, None)}, self.options(part, lettered) + [[(" ", PLAIN)]] * last)
             self.endings[key] = _reading(max(paths.values(), key=lambda p: p[0])[1])
         return self.endings[key]
 
@@ -256,7 +280,9 @@ class Channel:
 
 def features(word: str) -> list[str]:
     """A restored word and its beginnings, which inflected words share."""
-    return [word, *(word[:k] + "*" for k in (4, 5, 6) if len(word) > k)]
+    if len(word) > 6:
+        return [word, word[:4] + "*", word[:5] + "*", word[:6] + "*"]
+    return [word, *(word[:k] + "*" for k in (4, 5) if len(word) > k)]
 
 
 @dataclass
@@ -274,8 +300,11 @@ class Model:
 
     def weight(self, token: str) -> float:
         """The weight of the most telling word that a token is restored to."""
-        known, starts = self.weights.get, self.starts
-        return max([known(f, 0.0) for w in self.channel.restore(token).split(" ") if w[:4] in starts for f in features(w)], default=0.0)
+        known, starts, best = self.weights.get, self.starts, 0.0
+        for w in self.channel.restore(token).split(" "):
+            if w[:4] in starts:
+                best = max(best, *map(known, features(w), repeat(0.0)))
+        return best
 
     def evidence(self, text: str) -> float:
         """The weight of the most telling word of a whole text; 0 without any."""
@@ -284,9 +313,12 @@ class Model:
             self.done.clear()
         done = self.done
         tokens = set(tokens)
-        for t in tokens.difference(done):
-            done[t] = self.weight(t)
-        own = max(map(done.__getitem__, tokens), default=0.0)
+        found = list(map(done.get, tokens))
+        if None in found:
+            for t in tokens.difference(done):
+                done[t] = self.weight(t)
+            found = map(done.get, tokens)
+        own = max(found, default=0.0)
         known = self.weights.get
         return max([own, *(known(f, 0.0) for r in runs for w in r.split(" ") for f in features(w))])
 

@@ -813,6 +813,23 @@ def test_windows_are_hashed_from_hashed_words(spark):
         assert r.n == len(covered)
 
 
+def test_doubled_letters_are_read_part_by_part():
+    rng = np.random.default_rng(8)
+    channel = toxicity.Channel(rng.integers(0, 9, (toxicity.SIZE,) * 3).astype(float))
+    border, start, words = [(" ", 0.0)], {(0, 0): (0.0, None)}, []
+    for _ in range(400):
+        words.append("".join(str(c) * int(rng.integers(1, 4)) for c in rng.choice(list("abcdeиß"), int(rng.integers(1, 9)))))
+    words += [w + end for w in words[:200] for end in ("$$$", ",***", "1l", "**")]
+    for word in words:
+        whole = channel._follow(start, [*channel.options(word), border])
+        assert channel.decode(word) == toxicity._reading(max(whole.values(), key=lambda p: p[0])[1]).strip(), word
+    # Words with the same letters around a doubled one share one search, whatever is further off.
+    channel.endings.clear()
+    for word in ("mattin", "mattino", "gamattins", "tomattine"):
+        channel.decode(word)
+    assert len(channel.endings) == 1
+
+
 def test_viterbi_finds_the_best_of_all_paths(docs):
     from itertools import product
 
