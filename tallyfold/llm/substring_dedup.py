@@ -16,10 +16,12 @@ that very many documents share is one entry and one answer a block.
 
 import hashlib
 import math
-from dataclasses import dataclass
+from array import array
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,9 @@ BLOCK_BYTES = 8 << 20
 RANGE_WINDOWS = 1 << 20
 #: Bytes of text that one row of the sample for the borders stands for.
 SAMPLE_BYTES = 4096
+#: Windows that are hashed at a time, and texts of which the words are kept for the next comparison.
+STEP_WORDS = 1 << 16
+RECENT_TEXTS = 32
 
 
 def _mixers(window: int) -> np.ndarray:
@@ -36,28 +41,61 @@ def _mixers(window: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(str(k).encode(), 13) | 1 for k in range(window)], np.uint64)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """The words of each text, how many, and the 64-bit hashes of all words in a row."""
-    words = [t.split() for t in texts]  # bytes: at blanks and tab to carriage return
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(w) for ws in words for w in ws), np.uint64, int(sizes.sum()))
-    return words, sizes, hashes
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """How many words each text has, and the 64-bit hashes of all words in a row.
 
+    The words themselves are not kept: as objects they take ten times the room of their text.
+    """
+    sizes, hashes, digest = np.zeros(len(texts), np.int64), array("Q"), xxhash.xxh64_intdigest
+    for k, text in enumerate(texts):
+        words = text.split()  # bytes: at blanks and tab to carriage return
+        sizes[k] = len(words)
+        hashes.extend(map(digest, words))
+    return sizes, np.asarray(hashes, np.uint64)
+
+
+def windows(ends: np.ndarray, hashes: np.ndarray, window: int):
+    """Of all windows inside one document, step by step: place of the first word, document number, hash.
 
-def windows(sizes: np.ndarray, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all windows inside one document: place of the first word, document number, hash."""
-    if len(hashes) < window:
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, np.uint64)
+    `ends` are those of the documents among all words.
+    """
     total = len(hashes) - window + 1
-    mixed = np.zeros(total, np.uint64)
-    for k, m in enumerate(_mixers(window)):
-        mixed += hashes[k : k + total] * m
-    mixed ^= mixed >> np.uint64(32)
-    document = np.repeat(np.arange(len(sizes)), sizes)
-    at = np.flatnonzero(document[:total] == document[window - 1 :])
-    return at, document[at], mixed[at]
+    kind = np.int32 if len(hashes) < 1 << 30 else np.int64
+    for a in range(0, total, STEP_WORDS):
+        size = min(STEP_WORDS, total - a)
+        mixed = np.zeros(size, np.uint64)
+        for k, m in enumerate(_mixers(window)):
+            mixed += hashes[a + k : a + k + size] * m
+        mixed ^= mixed >> np.uint64(32)
+        at = np.arange(a, a + size, dtype=kind)
+        document = np.searchsorted(ends, at, "right").astype(kind)
+        inside = at + window <= ends[document]
+        yield at[inside], document[inside], mixed[inside]
+
+
+def _joined(parts, kinds=(np.int64, np.int64, np.uint64)) -> list[np.ndarray]:
+    """The steps of `windows` in a row."""
+    columns = list(zip(*parts, strict=True)) or [[np.zeros(0, k)] for k in kinds]
+    return [np.concatenate(c) for c in columns]
+
+
+def _all_hashes(ends: np.ndarray, hashes: np.ndarray, window: int) -> np.ndarray:
+    """The hashes of all windows inside one document, ascending."""
+    found, n = np.empty(max(0, len(hashes) - window + 1), np.uint64), 0
+    for _, _, mixed in windows(ends, hashes, window):
+        found[n : n + len(mixed)] = mixed
+        n += len(mixed)
+    found = found[:n]
+    found.sort()
+    return found
+
+
+def _slots(index: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the hashes are in an ascending index, and whether they are in it."""
+    if not len(index):
+        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    slot = np.minimum(np.searchsorted(index, hashes), len(index) - 1)
+    return slot, index[slot] == hashes
 
 
 def _text_rows(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
@@ -76,8 +114,9 @@ def _borders(ranges: int) -> np.ndarray:
 def _indexer(window: int, ranges: int, block: str):
     def run(table: pa.Table) -> pa.Table:
         _, texts, _ = _text_rows(table)
-        _, sizes, hashes = word_hashes(texts)
-        index = np.unique(windows(sizes, hashes, window)[2])
+        sizes, hashes = word_hashes(texts)
+        index = _all_hashes(np.cumsum(sizes), hashes, window)
+        index = index[np.append(True, index[1:] != index[:-1])[: len(index)]]
         parts = np.split(index, np.searchsorted(index, _borders(ranges)))
         full = [k for k, p in enumerate(parts) if len(p)]
         own = [table[block][0].as_py()] * len(full)
@@ -110,6 +149,16 @@ def _asker(last: int, block: str):
     return run
 
 
+class _Texts:
+    """Texts with the hashes of all their words in a row. The words of a text are split off when asked for."""
+
+    def __init__(self, texts: list[bytes]):
+        sizes, self.hashes = word_hashes(texts)
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes  # of the texts among all words
+        self.words = lru_cache(RECENT_TEXTS)(lambda k: texts[k].split())
+
+
 def _answerer(window: int, block: str):
     """Cogroup function of a block and what it is asked: the passages that hold the windows, for each block that asked."""
 
@@ -117,53 +166,50 @@ def _answerer(window: int, block: str):
         out = {"asker": [], "passage": []}
         if docs.num_rows and asked.num_rows:
             _, texts, _ = _text_rows(docs)
-            words, sizes, hashes = word_hashes(texts)
-            at, document, mixed = windows(sizes, hashes, window)
-            index, first = np.unique(mixed, return_index=True)
-            starts = np.cumsum(sizes) - sizes
+            texts = _Texts(texts)
             wanted: dict[int, list] = {}
             for asker, sent in zip(asked["asker"].to_pylist(), asked["hashes"].to_pylist(), strict=True):
                 wanted.setdefault(asker, []).append(np.frombuffer(sent, "<u8"))
+            index = np.unique(np.concatenate([part for parts in wanted.values() for part in parts]))
+            # The first window with each hash that is asked for: its place and document.
+            first, where = np.full(len(index), -1), np.full(len(index), -1)
+            for at, document, mixed in windows(texts.ends, texts.hashes, window):
+                slot, known = _slots(index, mixed)
+                known &= first[slot] < 0
+                fresh, row = np.unique(slot[known], return_index=True)
+                first[fresh], where[fresh] = at[known][row], document[known][row]
             for asker, sent in wanted.items():
-                found = np.sort(first[np.searchsorted(index, np.concatenate(sent))])
-                place, doc = at[found], document[found]
+                found = np.searchsorted(index, np.concatenate(sent))
+                found = found[np.argsort(first[found], kind="stable")]
+                place, doc = first[found], where[found]
                 # Windows that start next to each other in one document, or overlap there, are one passage.
                 fresh = np.concatenate(([True], (doc[1:] != doc[:-1]) | (place[1:] > place[:-1] + window)))
                 begins, ends = place[fresh], np.append(place[:-1][fresh[1:]], place[-1]) + window
                 for d, a, z in zip(doc[fresh].tolist(), begins.tolist(), ends.tolist(), strict=True):
                     out["asker"].append(asker)
-                    out["passage"].append(b" ".join(words[d][a - int(starts[d]) : z - int(starts[d])]))
+                    start = int(texts.starts[d])
+                    out["passage"].append(b" ".join(texts.words(d)[a - start : z - start]))
         return pa.table({block: pa.array(out["asker"], "int32"), "passage": pa.array(out["passage"], "binary")})
 
     return run
 
 
-@dataclass
-class _References:
-    """Texts of words with the hashes of the words and, ascending, those of the windows with their places."""
-
-    words: list[list[bytes]]
-    hashes: np.ndarray
-    starts: np.ndarray  # of the texts among all words
-    ends: np.ndarray
-    index: np.ndarray
-    first: np.ndarray  # place of the first window with a hash
-    text: np.ndarray  # text of that window
-
+class _References(_Texts):
+    """Texts with, ascending, the hashes of their windows, and the first window that has each."""
 
-def _references(words, sizes, hashes, window: int) -> tuple[_References, tuple]:
-    at, document, mixed = windows(sizes, hashes, window)
-    index, first, place = np.unique(mixed, return_index=True, return_inverse=True)
-    ends = np.cumsum(sizes)
-    return _References(words, hashes, ends - sizes, ends, index, at[first], document[first]), (at, document, mixed, place)
+    def __init__(self, texts: list[bytes], window: int):
+        super().__init__(texts)
+        at, document, mixed = _joined(windows(self.ends, self.hashes, window))
+        self.index, first = np.unique(mixed, return_index=True)
+        self.first, self.text = at[first], document[first]
 
 
-def _copied(own: list[bytes], hashes: np.ndarray, start: int, place: int, refs: _References, text: int, at: int) -> int:
+def _copied(own: list[bytes], hashes: np.ndarray, start: int, place: int, refs: _Texts, text: int, at: int) -> int:
     """How many words from `place` of a document equal those from `at` of a reference text, compared as words."""
     room = min(len(own) - place, int(refs.ends[text]) - at)
     differ = np.flatnonzero(hashes[start + place : start + place + room] != refs.hashes[at : at + room])
     size = int(differ[0]) if len(differ) else room
-    other, offset = refs.words[text], at - int(refs.starts[text])
+    other, offset = refs.words(text), at - int(refs.starts[text])
     if own[place : place + size] == other[offset : offset + size]:
         return size
     return next(k for k in range(size) if own[place + k] != other[offset + k])
@@ -188,38 +234,40 @@ def factors(own: list[bytes], hashes: np.ndarray, start: int, found: list[int],
 
 
 def _parse(docs: pa.Table, answers: pa.Table, window: int):
-    """For each document of a block: row, words, which of them repeats cover, and the factors."""
+    """For each document of a block: row, a function for its words, which of them repeats cover, and the factors."""
     ids, texts, order = _text_rows(docs)
-    words, sizes, hashes = word_hashes(texts)
-    own, (at, document, mixed, place) = _references(words, sizes, hashes, window)
-    passages, passage_sizes, passage_hashes = word_hashes([p or b"" for p in answers["passage"].to_pylist()])
-    other, _ = _references(passages, passage_sizes, passage_hashes, window)
-    # The own block is a reference where a document with a smaller id has the window.
-    least = np.full(len(own.index), np.iinfo(np.int64).max)
-    np.minimum.at(least, place, ids[document])
-    in_own = least[place] < ids[document]
-    slot = np.searchsorted(other.index, mixed)
-    in_other = other.index[np.minimum(slot, len(other.index) - 1)] == mixed if len(other.index) else np.zeros(len(mixed), bool)
+    own = _Texts(texts)
+    other = _References([p or b"" for p in answers["passage"].to_pylist()], window)
+    # Only windows that the block has twice, or a passage too, are looked at further.
+    repeated = _all_hashes(own.ends, own.hashes, window)
+    repeated = repeated[1:][repeated[1:] == repeated[:-1]]
+    steps = windows(own.ends, own.hashes, window)
+    at, document, mixed = _joined((p[known], d[known], m[known]) for p, d, m in steps for known in [_slots(repeated, m)[1] | _slots(other.index, m)[1]])
+    _, first, place = np.unique(mixed, return_index=True, return_inverse=True)
+    first = first[place]
+    # The own block is a reference where a document with a smaller id has the window; ids ascend.
+    in_own = ids[document[first]] < ids[document]
+    slot, in_other = _slots(other.index, mixed)
     found = np.flatnonzero(in_own | in_other)
-    by_document = np.searchsorted(document[found], np.arange(len(sizes) + 1))
-    for k, (mine, row) in enumerate(zip(words, order.tolist(), strict=True)):
-        start = int(own.starts[k])
+    by_document = np.searchsorted(document[found], np.arange(len(texts) + 1))
+    for k, row in enumerate(order.tolist()):
+        start, words = int(own.starts[k]), partial(own.words, k)
+        gone, spans = np.zeros(int(own.ends[k]) - start, bool), []
         here = found[by_document[k] : by_document[k + 1]]
-        entry = dict(zip((at[here] - start).tolist(), here.tolist(), strict=True))
-
-        def sources(p, entry=entry):
-            e = entry[p]
-            if in_own[e]:
-                first = place[e]
-                yield own, int(own.text[first]), int(own.first[first])
-            if in_other[e]:
-                yield other, int(other.text[slot[e]]), int(other.first[slot[e]])
-
-        spans = factors(mine, hashes, start, list(entry), sources, window)
-        gone = np.zeros(len(mine), bool)
+        if len(here):
+            entry = dict(zip((at[here] - start).tolist(), here.tolist(), strict=True))
+
+            def sources(p, entry=entry):
+                e = entry[p]
+                if in_own[e]:
+                    yield own, int(document[first[e]]), int(at[first[e]])
+                if in_other[e]:
+                    yield other, int(other.text[slot[e]]), int(other.first[slot[e]])
+
+            spans = factors(words(), own.hashes, start, list(entry), sources, window)
         for a, n in spans:
             gone[a : a + n] = True
-        yield row, mine, gone, spans
+        yield row, words, gone, spans
 
 
 def _kept(words: list[bytes], gone: np.ndarray) -> bytes:
@@ -233,8 +281,8 @@ def _reporter(window: int, digest: bool):
         out = {"doc_id": [], "n_words": [], "n_removed": [], "kept": [], "factors": []}
         doc_ids = docs["doc_id"].to_pylist()
         for row, words, gone, spans in _parse(docs, answers, window) if doc_ids else ():
-            kept = _kept(words, gone)
-            values = doc_ids[row], len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest() if digest else kept.decode(), spans
+            kept = _kept(words(), gone)
+            values = doc_ids[row], len(gone), int(gone.sum()), hashlib.sha256(kept).hexdigest() if digest else kept.decode(), spans
             for column, value in zip(out.values(), values, strict=True):
                 column.append(value)
         table = {k: pa.array(out[k], "int64") for k in ("doc_id", "n_words", "n_removed")}
@@ -251,14 +299,18 @@ def _rewriter(window: int, columns: list[str]):
     """Cogroup function: the documents with their repeats cut out of the texts."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        text, rows = docs["text"].to_pylist(), []
+        cut, rows = {}, []
         for row, words, gone, _ in _parse(docs, answers, window) if docs.num_rows else ():
             if gone.any():
-                text[row] = _kept(words, gone).decode()
-            if not len(words) or not gone.all():
+                cut[row] = _kept(words(), gone).decode()
+            if not len(gone) or not gone.all():
                 rows.append(row)
-        place = docs.schema.get_field_index("text")
-        docs = docs.set_column(place, "text", pa.array(text, docs.schema.field("text").type))
+        place, field = docs.schema.get_field_index("text"), docs.schema.field("text")
+        changed = np.zeros(docs.num_rows, bool)
+        changed[list(cut)] = True
+        text = docs["text"].combine_chunks()
+        text = pc.replace_with_mask(text, pa.array(changed), pa.array([cut[row] for row in sorted(cut)], field.type))
+        docs = docs.set_column(place, "text", text)
         return docs.take(pa.array(sorted(rows), "int64")).select(columns)
 
     return run

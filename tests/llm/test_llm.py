@@ -4,11 +4,13 @@ import hashlib
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import Window
@@ -720,6 +722,27 @@ def test_rows_without_an_id_are_spread(spark):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == Counter(plain_repeats(rows))
 
 
+def test_blocks_take_little_memory():
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**5)}" for _ in range(400)) for _ in range(500)]
+    texts[1::50] = texts[::50]
+    block = pa.table({"doc_id": pa.array(range(500), "int64"), "text": texts, "_block": pa.array([0] * 500, "int32")})
+    answers = pa.table({"_block": pa.array([0, 0], "int32"), "passage": pa.array([t.encode() for t in texts[2:4]], "binary")})
+    asked = substring_dedup._indexer(13, 1, "_block")(block)
+    asked = pa.table({"_block": asked["asker"], "asker": asked["asker"], "hashes": asked["hashes"]})
+    runs = {
+        "index": lambda: substring_dedup._indexer(13, 4, "_block")(block),
+        "answers": lambda: substring_dedup._answerer(13, "_block")(block, asked),
+        "rows": lambda: substring_dedup._reporter(13, True)(block, answers),
+        "texts": lambda: substring_dedup._rewriter(13, ["doc_id", "text"])(block, answers),
+    }
+    for name, run in runs.items():
+        tracemalloc.start()
+        got, peak = run(), tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got.num_rows and peak < 14 * sum(map(len, texts)), name
+
+
 def test_documents_without_repeats(odd, nothing):
     got = substring_dedup.without_repeats(odd)
     assert got.columns == odd.columns
